@@ -21,37 +21,43 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class PerfectHash:
-    """Keys to 0..n-1 without gaps or collisions: keys fall into small buckets, and each bucket, largest first, gets the first displacement that sends all its keys to free slots."""
+    """Keys to 0..n-1 without gaps or collisions.
+
+    Keys fall into small buckets. Each bucket of two or more, largest first, gets the first displacement that sends
+    all its keys to free slots; a bucket of one is given a free slot itself.
+    """
 
     def __init__(self, keys: list[bytes]):
         self.n = len(keys)
         self.buckets = max(1, self.n // 4)
         members: list[list[int]] = [[] for _ in range(self.buckets)]
-        hashes = [xxhash.xxh3_64_intdigest(k) for k in keys]
-        for h in hashes:
+        for h in map(xxhash.xxh3_64_intdigest, keys):
             members[h % self.buckets].append(h)
         self.shift = [0] * self.buckets
-        taken = bytearray(max(1, self.n))
-        for b in sorted(range(self.buckets), key=lambda b: -len(members[b])):
-            if not members[b]:
+        taken = bytearray(self.n)
+        order = sorted(range(self.buckets), key=lambda b: -len(members[b]))
+        for b in order:
+            if len(members[b]) < 2:
                 break
-            d = 0
-            while True:
-                slots = [self._slot(h, d) for h in members[b]]
-                if len({*slots}) == len(slots) and not any(taken[s] for s in slots):
-                    break
+            d = 1
+            while len({*(slots := [self._slot(h, d) for h in members[b]])}) < len(slots) or any(taken[s] for s in slots):
                 d += 1
             self.shift[b] = d
             for s in slots:
                 taken[s] = 1
+        free = (s for s in range(self.n) if not taken[s])
+        for b in order:
+            if len(members[b]) == 1:
+                self.shift[b] = -next(free)
 
     def _slot(self, h: int, d: int) -> int:
-        return ((h >> 20) + d * ((h >> 7 & 0xFFFFF) | 1) + d * d * 40503) % self.n
+        x = ((h ^ d * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+        return ((x ^ x >> 29) * 0x94D049BB133111EB >> 32 & 0xFFFFFFFF) % self.n
 
     def slot(self, key: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(key)
         d = self.shift[h % self.buckets]
-        return ((h >> 20) + d * ((h >> 7 & 0xFFFFF) | 1) + d * d * 40503) % self.n
+        return self._slot(h, d) if d > 0 else -d
 
 
 class Codec:

@@ -120,16 +120,20 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter(F.col("pii"), lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, counts by kind, SHA-256 of the base kinds' spans, and all spans, of find()."""
     pii = F.col("pii")
     base = F.filter(pii, lambda s: s["kind"].isin(*BASE))
     return find(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
         "doc_id",
-        *(F.size(F.filter(pii, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE),
+        *(_count(k) for k in BASE),
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
         listed(pii).alias("spans"),
-        F.size(F.filter(pii, lambda s: s["kind"] == "iban")).cast("long").alias("n_iban"),
+        _count("iban"),
     )
 
 

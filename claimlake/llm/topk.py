@@ -87,7 +87,7 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, parts: int | None =
     asked = whole.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
     part = F.pmod(F.xxhash64("ids"), F.lit(parts))
     rows = _blocks(whole, ROWS).select(part.alias("part"), "dim", F.col("ids").alias("r_ids"), F.col("vectors").alias("r_vectors"))
-    queries = _blocks(asked, QUERIES).select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long").alias("part"), "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    queries = _blocks(asked, QUERIES).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
