@@ -63,9 +63,9 @@ class PerfectHash:
 class Codec:
     """Encodes and decodes by a rank file; ids are the ranks."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, perfect: PerfectHash | None = None):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.hash = PerfectHash(list(ranks))
+        self.hash = perfect or PerfectHash(list(ranks))
         self.keys: list[bytes] = [b""] * len(ranks)
         self.ids = [0] * len(ranks)
         for key, rank in ranks.items():
@@ -128,11 +128,12 @@ class Codec:
 
 
 def _mapped(docs: DataFrame, path: str, pattern: str, schema: str, columns) -> DataFrame:
-    spark = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    ranks = read_ranks(path)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, PerfectHash(list(ranks))))  # bounded by the vocabulary
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = once(("codec", path, pattern), lambda: Codec(spark.value, pattern))
+        codec = once(("codec", path, pattern), lambda: Codec(shared.value[0], pattern, shared.value[1]))
         for big in batches:
             for batch in slices(big, "text", 4 << 20):
                 yield columns(codec, batch)

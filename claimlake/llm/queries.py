@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, near_dedup, packing, pii, quality_rules, token_counts, topk, toxicity
+from . import bpe, near_dedup, packing, pii, quality_rules, shards, token_counts, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), n=2, percent=80)
 
 
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_pii": op3_pii,
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_near_dedup": op9_near_dedup,
+    "op10_shards": op10_shards,
 }
 ORACLE_SQL: dict[str, str] = {
     "op8_topk": """
