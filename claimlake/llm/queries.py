@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, near_dedup, packing, pii, quality_rules, shards, token_counts, topk, toxicity
+from . import bpe, near_dedup, packing, perplexity, pii, quality_rules, shards, token_counts, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_perplexity": op2_perplexity,
     "op3_pii": op3_pii,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
