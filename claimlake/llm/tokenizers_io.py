@@ -62,16 +62,22 @@ class WordBpe:
             key = bytes(letters[c] for c in spelled) + b"\xff" * last
             ranks[key], ids[512 + i] = 512 + i, vocab[a + b]
         self.core = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe
-        self.to_id = np.zeros(512 + len(model["merges"]), dtype)
-        self.to_id[list(ids)] = list(ids.values())
+        self.spelled = {rank: np.array(i, dtype).tobytes() for rank, i in ids.items()}
+        #: Bare letters, and letters before one of these marks, part in one way only, whatever the special strings.
+        self.bare = not self.special.search("abc") and self.pieces.findall("abc") == ["abc"]
+        self.marks = {m.encode(): m for m in ".,;:?" if self.pieces.findall("abc" + m) == ["abc", m] and not self.special.search("abc" + m)}
         self.words = Memo(self._word)
         self.chunks = Memo(self._chunk)
 
     def _word(self, word: str) -> bytes:
-        return self.to_id[self.core.encode_single_piece(word.encode() + b"\xff")].tobytes()
+        return b"".join(map(self.spelled.__getitem__, self.core.encode_single_piece(word.encode() + b"\xff")))
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
+        if self.bare and chunk.isalpha():  # of bytes: ASCII letters alone
+            return self.words[text.lower()]
+        if (mark := self.marks.get(chunk[-1:])) and chunk[:-1].isalpha():
+            return self.words[text[:-1].lower()] + self.words[mark]
         if PLAIN.fullmatch(text) and not self.special.search(text):
             lower = "".join(map(str.lower, text))
             if text.isascii() or (unicodedata.is_normalized("NFC", text) and PLAIN.fullmatch(lower)):
