@@ -1,0 +1,3 @@
+"""The queries over the given tables; importing the package registers all of them."""
+
+from . import queries, store  # noqa: F401
