@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import buffers, mixed, slices, span_hashes, stored, words_of
@@ -119,13 +119,47 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def members_of_sets(docs: DataFrame, n: int) -> DataFrame:
+    """rep, size, h: every shingle h of each text's set, with the set's size. docs: rep, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for batch in slices(big, "text", 1 << 20):
+                h, at = shingles(batch.column(1), n)
+                size = np.diff(at)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.repeat(size, size)), pa.array(h.view(np.int64))], names=["rep", "size", "h"])
+
+    return docs.mapInArrow(run, "rep long, size long, h long")
+
+
+def joined_by_prefix(named: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """All pairs (a, b) of the classes named (rep, root) that may be linked and have different roots.
+
+    Sets with 100 * intersection >= percent * union share one of the first size - ceil(percent * size / 100) + 1
+    shingles of each under any common order, here the rarest among these classes first; so no link is left out.
+    Classes of one root are never paired with each other.
+    """
+    texts = docs.select(F.col("doc_id").alias("rep"), F.coalesce("text", F.lit("")).alias("text")).join(named, "rep", "left_semi").dropDuplicates(["rep"])
+    rows = stored(members_of_sets(texts, n), "shingles")
+    rare = Window.partitionBy("rep").orderBy("df", "h")
+    ranked = rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("df")), "h").withColumn("rank", F.row_number().over(rare))
+    prefix = stored(ranked.filter((F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & (F.col("df") > 1)).join(named, "rep").select("h", "rep", "root", "size"), "prefixes")
+    roots = prefix.select("h", "root").distinct()
+    sides = roots.withColumnRenamed("root", "ra").join(roots.withColumnRenamed("root", "rb"), "h").filter("ra < rb")
+    a, b = (prefix.select("h", F.col("rep").alias(x), F.col("root").alias("r" + x), F.col("size").alias("s" + x)) for x in "ab")
+    near = 100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")
+    return sides.join(a, ["h", "ra"]).join(b, ["h", "rb"]).filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80, rounds: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept of every document.
 
     docs: doc_id, text; other columns are ignored. Words are lower-cased in A-Z. Texts with equal sets are one class
     and one row from then on. Classes that share a table key are candidates: each against the smallest class of its
     bucket, then, for up to rounds rounds and only in buckets that still hold several components, against the class
-    that another order puts first; so buckets are never paired out, however large. Null, empty and blank texts:
+    that another order puts first. The classes of buckets that hold several components after that are joined by
+    prefixes of their sets (joined_by_prefix), which misses no link: any two linked classes that share a table key end
+    in one component, however many rounds there were. Null, empty and blank texts:
     n_shingles 0, linked with nothing, kept. Null doc_id: component null, kept. A repeated doc_id takes the component
     of each of its rows' texts. No rows: no rows.
     """
@@ -153,6 +187,15 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80, rounds: int
             continue
         links = links.union(new)
         roots = components(links)
+    named = members.select("key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+    mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    rest = stored(named.join(mixed, "key", "left_semi").select("rep", "root").distinct(), "rest")
+    if not rest.isEmpty():
+        more = stored(joined_by_prefix(rest, docs, n, percent).join(done, ["a", "b"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            new = stored(confirmed(more, docs, n, percent), "links")
+            if not new.isEmpty():
+                roots = components(links.union(new))
     named = classes.select("f1", "f2", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("root", "rep").alias("component"))
     ok = F.col("n_shingles") > 0
     return sig.select("doc_id", "n_shingles", F.when(ok, F.col("f1")).alias("f1"), F.when(ok, F.col("f2")).alias("f2")).join(named, ["f1", "f2"], "left").select(

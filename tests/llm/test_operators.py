@@ -184,3 +184,13 @@ def test_near_dedup(docs):
     assert not wrong
     assert all(g.kept == (g.component_id == i) for i, g in got.items() if i is not None)
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_near_dedup_links_beside_a_long_common_passage(spark):
+    """Each text is 80 of 102 shingles apart from all others, but 82 of 100 from its twin: full buckets, twins that are no centres."""
+    shared = [f"p{i}" for i in range(81)]
+    rows = [(2 * g + x, " ".join([*shared, f"c{g}", f"d{g}", *(f"o{g}.{x}.{i}" for i in range(9))])) for g in range(60) for x in (0, 1)]
+    want = components(dict(rows))
+    assert len({c for _, c in want.values()}) == 60
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert {i: g.component_id for i, g in got.items()} == {i: c for i, (_, c) in want.items()}
