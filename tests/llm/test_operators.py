@@ -84,6 +84,14 @@ def test_quality_rules(docs):
         assert not (g.base_failed and g.kept)
 
 
+def test_quality_rules_drop_tables(spark):
+    words = [f"w{i}" for i in range(120)]
+    rows = [(0, " | ".join(words)), (1, " ".join(words)), (2, " ".join(words) + " 50 % & 20 %")]
+    rows.append((3, " ".join(w + (" |" if i % 3 == 0 else "") for i, w in enumerate(words))))
+    got = by_id(quality_rules.rate(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [got[i].kept for i in range(4)] == [False, True, True, False]
+
+
 def test_toxicity_accuracy(spark):
     d = "/root/testdata/sf0.1"
     got = toxicity.digest(spark.read.parquet(f"{d}/documents.parquet"), labels := spark.read.parquet(f"{d}/labels.parquet"))
