@@ -148,13 +148,26 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, x))))
 
 
-def learned(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, share: float = 0.02, least_weight: float = 2.0) -> tuple[np.ndarray, dict[str, float], float]:
+def chance(bad: int, n: int, rate: float) -> float:
+    """The probability that bad or more of n texts are toxic where each is with probability rate."""
+    if not 0 < rate < 1:
+        return 1.0
+    p = math.exp(math.lgamma(n + 1) - math.lgamma(bad + 1) - math.lgamma(n - bad + 1) + bad * math.log(rate) + (n - bad) * math.log1p(-rate))
+    total, k = p, bad
+    while k < n and p > 1e-6 * total:
+        p *= (n - k) / (k + 1) * rate / (1 - rate)
+        total, k = total + p, k + 1
+    return total
+
+
+def learned(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, most_chance: float = 0.001, least_weight: float = 2.0) -> tuple[np.ndarray, dict[str, float], float]:
     """Letter trigram counts of all texts; word weights and bias from labelled texts.
 
     labels: doc_id, toxic. Labels count only where crc32(doc_id as text) mod 5 is not 0; of these about most_labelled
     are taken, by a hash of doc_id, if there are more. A word weighs the logarithm of its odds between toxic and other
-    texts, if at least share of the toxic ones, and 3 of them, hold it and the logarithm is least_weight or more; the
-    share bounds how many words there can be.
+    texts, if 3 toxic ones or more hold it, the logarithm is least_weight or more, and so many toxic ones among the texts
+    that hold it come by chance with a probability of most_chance at most: a test among the word's own texts, so that a
+    language with few toxic texts counts like any other.
     """
     counts = np.zeros(27**3, np.int64)
     for r in letter_trigrams(docs).collect():  # 27 ** 3 rows at most
@@ -178,10 +191,10 @@ def learned(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, sha
                 every = [w for w in {*seen[0], *seen[1]} if w]
                 yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), pa.array([seen[1][w] for w in every], pa.int64()), pa.array([seen[0][w] for w in every], pa.int64())], names=["word", "bad", "good"])
 
-    least = max(3, share * bad)
-    table = texts.mapInArrow(words, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(F.col("bad") >= least)
+    table = texts.mapInArrow(words, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad >= 3")
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    rows = table.withColumn("odds", odds).filter(F.col("odds") >= least_weight).orderBy(F.desc("odds"), "word").limit(5000).collect()
+    rows = table.withColumn("odds", odds).filter(F.col("odds") >= least_weight).orderBy(F.desc("odds"), "word").collect()  # of about most_labelled texts
+    rows = [r for r in rows if chance(r.bad, r.bad + r.good, bad / (bad + good)) <= most_chance]
     absent = sum(math.log((1 - (r.bad + 0.5) / (bad + 1)) / (1 - (r.good + 0.5) / (good + 1))) for r in rows if r.bad < bad and r.good < good)
     return counts, {r.word: r.odds for r in rows}, math.log((bad + 1) / (good + 1)) + max(absent, -6.0)
 
@@ -194,7 +207,7 @@ def score(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000) -> Da
     each. One pass over the rows for the letters, one for the scores; no shuffle of texts but the labelled ones.
     """
     counts, weights, bias = learned(docs, labels, most_labelled)
-    model = docs.sparkSession.sparkContext.broadcast((counts, weights, bias))  # 27 ** 3 counts and 5,000 words at most
+    model = docs.sparkSession.sparkContext.broadcast((counts, weights, bias))  # 27 ** 3 counts and the words learned
     key = ("toxic", hash((counts.tobytes(), *sorted(weights.items()))))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 

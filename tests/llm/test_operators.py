@@ -1,5 +1,6 @@
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -101,6 +102,25 @@ def test_toxicity_accuracy(spark):
     assert right > 0.97 and sum(found) / len(found) > 0.8
 
 
+def test_toxicity_learns_rare_languages(spark):
+    rows = [(i, f"the idiot number {i} speaks", 1) for i in range(600)] + [(i, f"a calm number {i} speaks", 0) for i in range(600, 6000)]
+    ids = [i for i in range(10_000, 10_100) if zlib.crc32(str(i).encode()) % 5][:66]
+    rows += [(i, f"que bomenteja {i}", 1) for i in ids[:6]] + [(i, f"que libro {i}", 0) for i in ids[6:]]
+    _, weights, _ = toxicity.learned(spark.createDataFrame(rows, "doc_id long, text string, toxic int"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert {"idiot", "bomenteja"} <= weights.keys() and not {"que", "libro", "number"} & weights.keys()
+
+
+def test_toxicity_recall_by_language(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{x}.parquet") for x in ("documents", "labels"))
+    rows = toxicity.digest(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    for lang in ("de", "en", "es", "fr"):
+        found = [r.predicted for r in rows if r.toxic and r.lang == lang]
+        alarms = [r.predicted for r in rows if not r.toxic and r.lang == lang]
+        print(lang, sum(found), len(found), sum(alarms), len(alarms))
+        assert sum(found) / len(found) > 0.7 and sum(alarms) / len(alarms) < 0.02, lang
+
+
 def test_toxicity_restores(spark):
     text = "you are such an idiot and a moron , the station is in the region of nation and motion . " * 50
     counts = np.zeros(27**3, np.int64)
