@@ -10,13 +10,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mixed, once, shared_dir, slices, stored
+from .shared import forget, mixed, once, shared_dir, slices, stored
 from .tokenizers_io import WordBpe
 
-SEQUENCES = "part int, nth long, doc_id long, start long, length long, ids binary"
+SEQUENCES = "part int, nth long, ids binary"
 MANIFEST = "shard long, file string, first_slot long, n_sequences long, n_bytes long, crc32 long"
 
 
@@ -55,55 +55,80 @@ class Feistel:
 
 
 def sequences(docs: DataFrame, path: str, end_id: int, window: int) -> DataFrame:
-    """Each document's ids and end_id, cut into sequences of at most window ids of 16 bits, numbered within its partition."""
-    rows = docs.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    """part, nth, ids: the ids of a partition's documents, each with end_id, one after another in windows of 16-bit ids; its last window may be shorter."""
+    rows = docs.select(F.spark_partition_id().alias("part"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, nth = once(("word-bpe", path), lambda: WordBpe(path)), 0
-        end, step = np.array([end_id], bpe.dtype).tobytes(), 2 * window
+        bpe = once(("word-bpe", path), lambda: WordBpe(path))
+        end, step, nth, rest, part = np.array([end_id], bpe.dtype).tobytes(), 2 * window, 0, b"", None
+
+        def cut(raw: bytes) -> pa.RecordBatch:
+            windows = [raw[a : a + step] for a in range(0, len(raw), step)]
+            return pa.RecordBatch.from_arrays([pa.array([part] * len(windows), pa.int32()), pa.array(range(nth, nth + len(windows)), pa.int64()), pa.array(windows, pa.binary())], names=["part", "nth", "ids"])
+
         for big in batches:
             for batch in slices(big, "text", 4 << 20):
-                row, start, cut = [], [], []
-                for i, t in enumerate(batch.column(2).to_pylist()):
-                    ids = bpe.encode(t.encode()) + end
-                    for at in range(0, len(ids), step):
-                        row.append(i), start.append(at // 2), cut.append(ids[at : at + step])
+                part = batch.column(0)[0].as_py()
+                raw = rest + b"".join(bpe.encode(t.encode()) + end for t in batch.column(1).to_pylist())
                 bpe.trim()
-                take = pa.array(row, pa.int64())
-                numbers = pa.array(np.arange(nth, nth + len(row)))
-                nth += len(row)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), numbers, batch.column(1).take(take), pa.array(start, pa.int64()), pa.array([len(x) // 2 for x in cut], pa.int64()), pa.array(cut, pa.binary())], names=["part", "nth", "doc_id", "start", "length", "ids"])
+                full = len(raw) // step * step
+                yield cut(raw[:full])
+                nth, rest = nth + full // step, raw[full:]
+        if rest:
+            yield cut(rest)
 
     return rows.mapInArrow(run, SEQUENCES)
 
 
-def slotted(docs: DataFrame, path: str, key: int, end_id: int = 2, window: int = 1024) -> tuple[DataFrame, int]:
-    """sequences() with their slots, a permutation of 0..n-1, and n."""
+def slotted(docs: DataFrame, path: str, key: int, end_id: int = 2, window: int = 1024) -> tuple[DataFrame, DataFrame, int]:
+    """slot and ids of all sequences(), the slots a permutation of 0..n-1; the table that they are read from; n."""
     cut = stored(sequences(docs, path, end_id, window), "sequences")
-    sizes = stored(cut.groupBy("part").agg(F.max("nth").alias("most")), "sizes")
-    base = sizes.select("part", F.coalesce(F.sum(F.col("most") + 1).over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    n = sizes.agg(F.coalesce(F.sum(F.col("most") + 1), F.lit(0))).first()[0]
+    sizes = cut.groupBy("part").agg(F.max("nth").alias("most")).collect()  # a row for each input partition: bounded by the number of tasks
+    bases, n = [], 0
+    for r in sorted(sizes, key=lambda r: r.part):
+        bases.append((r.part, n))
+        n += r.most + 1
+    base = docs.sparkSession.createDataFrame(bases, "part int, base long")
     feistel = Feistel(n, key)
 
     @F.pandas_udf("long")
     def slot(index):
         return index.__class__(feistel.slot(index.to_numpy()))
 
-    # a row for each input partition: bounded by the number of tasks
-    return cut.join(F.broadcast(base), "part").withColumn("slot", slot(F.col("base") + F.col("nth"))).drop("part", "nth", "base"), n
+    return cut.join(F.broadcast(base), "part").select(slot(F.col("base") + F.col("nth")).alias("slot"), "ids"), cut, n
+
+
+def read(out: str, n: int, start: int = 0, window: int = 1024, per_shard: int = 2048) -> Iterator[tuple[int, np.ndarray]]:
+    """(slot, ids) of the n sequences of a folder of shards in training order from slot start on: a reader that stopped goes on where it was with one seek."""
+    fs, root = pyarrow.fs.FileSystem.from_uri(out)
+    stride = 2 * window
+    while start < n:
+        shard, nth = divmod(start, per_shard)
+        with fs.open_input_file(posixpath.join(root, _named(shard))) as f:
+            f.seek(stride * nth)
+            for slot in range(start, min(n, (shard + 1) * per_shard)):
+                yield slot, np.frombuffer(f.read(stride), "<u2")
+        start = (shard + 1) * per_shard
+
+
+def _named(shard: int) -> str:
+    return f"shard-{shard:08d}.bin"
 
 
 def write(docs: DataFrame, path: str, out: str | None = None, key: int = 2024, end_id: int = 2, window: int = 1024, per_shard: int = 2048) -> DataFrame:
     """Writes all sequences in training order to shards of fixed stride, and returns a row for each shard.
 
-    docs: doc_id, text; other columns are ignored. Slot s is record s % per_shard of shard s // per_shard: window ids
-    of 16 bits, little-endian, padded with zeros, so a reader resumes at byte 2 * window * (s % per_shard). Every
-    shard is one file written whole by one task under another name and then renamed; a task that is tried again
-    writes the same bytes. Null or empty text: end_id alone. Null doc_id and repeated rows: sequences like any other.
-    No rows: no shards. Slots spread hot sources and long texts evenly over all shards.
+    docs: doc_id, text; other columns are ignored. Documents, each followed by end_id, fill windows one after another,
+    so only the last window of an input partition holds padding. Window i, in the order of partitions, gets slot
+    Feistel(n, key).slot(i); how the input is split decides which window is which. Slot s is record s % per_shard of
+    shard s // per_shard: window ids of 16 bits, little-endian, padded with zeros, so read() resumes at byte
+    2 * window * (s % per_shard). Partitions are ranges of slots, cut between shards; every shard is one file, written
+    whole by one task under another name and then renamed, and a task that is tried again writes the same bytes. Null
+    or empty text: end_id alone. Null doc_id and repeated rows: like any other. No rows: no shards. Slots spread hot
+    sources and long texts evenly over all shards.
     """
     spark = docs.sparkSession
-    rows, n = slotted(docs, path, key, end_id, window)
+    rows, cut, n = slotted(docs, path, key, end_id, window)
     out = out or f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
     stride = 2 * window
 
@@ -114,7 +139,7 @@ def write(docs: DataFrame, path: str, out: str | None = None, key: int = 2024, e
 
         def finish():
             sink.close()
-            name = f"shard-{shard:08d}.bin"
+            name = _named(shard)
             fs.move(temp, posixpath.join(root, name))
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int64()), (name, pa.string()), (first, pa.int64()), (count, pa.int64()), (count * stride, pa.int64()), (crc, pa.int64()))], names=["shard", "file", "first_slot", "n_sequences", "n_bytes", "crc32"])
 
@@ -134,5 +159,8 @@ def write(docs: DataFrame, path: str, out: str | None = None, key: int = 2024, e
 
     shards = max(1, -(-n // per_shard))
     tasks = min(shards, max(1, spark.sparkContext.defaultParallelism * 4, shards // 64))
-    dealt = rows.select("slot", "ids", F.floor(F.col("slot") / per_shard).alias("shard")).repartition(tasks, "shard").sortWithinPartitions("slot")
-    return stored(dealt.select("slot", "ids").mapInArrow(run, MANIFEST), "manifest")
+    to = F.expr(f"cast(slot div {per_shard} * {tasks} div {shards} as int)")
+    dealt = rows.repartitionById(tasks, to).sortWithinPartitions("slot")
+    manifest = stored(dealt.mapInArrow(run, MANIFEST), "manifest")
+    forget(cut)
+    return manifest

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir; where that is unset, a folder of our own in local mode and an error elsewhere."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -25,7 +28,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Deletes what stored() wrote for these tables; nothing that is still to run may read them."""
+    for df in tables:
+        if df is not None and (path := df.__dict__.pop("stored_at", None)):
+            sc = df.sparkSession.sparkContext
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 class Memo(dict):
