@@ -9,10 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import buffers, mixed, slices, span_hashes, stored, words_of
+from .shared import buffers, forget, mixed, slices, span_hashes, stored, words_of
 
 #: Two collections of SIDE half keys, each of HASHES minima; a table for each pair of half keys: SIDE ** 2 tables from 2 * SIDE * HASHES minima.
 SIDE, HASHES = 8, 3
+#: Rows of wanted classes up to which they are broadcast; joined by hash beyond.
+BROADCAST_ROWS = 5_000_000
+#: Shingles of the other texts of a star; a larger star is split.
+LOAD = 1 << 18
 SIGNATURES = "doc_id long, n_shingles long, f1 long, f2 long, left array<long>, right array<long>"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -47,6 +51,16 @@ def shingles(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.searchsorted(owner[new], np.arange(len(offsets)))
 
 
+def fingerprints(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums over each set of shingles; 0 for empty sets."""
+    size = np.diff(at)
+    full, marks = size > 0, np.zeros((2, len(size)), np.uint64)
+    if len(h):
+        marks[0, full] = np.add.reduceat(mixed(h), at[:-1][full])
+        marks[1, full] = np.add.reduceat(mixed(h ^ np.uint64(0x5851F42D4C957F2D)), at[:-1][full])
+    return marks
+
+
 def signatures(docs: DataFrame, n: int) -> DataFrame:
     """Set size, 128-bit fingerprint of the set, and both collections of half keys of every whole text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -60,12 +74,10 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 h, at = shingles(batch.column(1), n)
                 size = np.diff(at)
                 full = size > 0
-                marks = np.zeros((2, len(size)), np.uint64)
+                marks = fingerprints(h, at)
                 half = np.zeros((2 * SIDE, len(size)), np.uint64)
                 if len(h):
                     heads = at[:-1][full]
-                    marks[0, full] = np.add.reduceat(mixed(h), heads)
-                    marks[1, full] = np.add.reduceat(mixed(h ^ np.uint64(0x5851F42D4C957F2D)), heads)
                     for i in range(len(salts)):
                         x = (h ^ salts[i]) * mults[i]
                         least = np.minimum.reduceat(x ^ (x >> np.uint64(32)), heads)
@@ -76,29 +88,60 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, SIGNATURES)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stored(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    ta, tb = (texts.select(F.col("doc_id").alias(x), F.col("text").alias("t" + x)) for x in "ab")
-    both = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
+def looked_up(classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """cls, size, text: one text of each class (cls, least, f1, f2), whatever other texts its smallest doc_id has."""
+    wanted = classes.select(F.col("least").alias("doc_id"), "cls", "f1", "f2")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for batch in slices(big, "text", 2 << 20):
+                h, at = shingles(batch.column(3), n)
+                marks = fingerprints(h, at).view(np.int64)
+                own = (marks[0] == np.asarray(batch.column(1))) & (marks[1] == np.asarray(batch.column(2)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), batch.column(3)], names=["cls", "size", "text"]).filter(pa.array(own))
+
+    found = docs.join(wanted, "doc_id").select("cls", "f1", "f2", F.coalesce("text", F.lit("")).alias("text"))
+    return found.mapInArrow(run, "cls long, size long, text string").dropDuplicates(["cls"])
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets have 100 * intersection >= percent * union.
+
+    Pairs whose sizes forbid it go first. Each a's text then stands before the texts of its bs in a sorted partition;
+    an a whose bs hold more than LOAD shingles is split into several such stars, so its text is copied once for each
+    of these and not for each pair.
+    """
+    sizes = texts.select("cls", "size")
+    for x in "ab":
+        pairs = pairs.join(sizes.select(F.col("cls").alias(x), F.col("size").alias("s" + x)), x)
+    near = stored(pairs.filter(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")), "near")
+    stars = near.groupBy("a").agg(F.expr(f"sum(sb) div {LOAD} + 1").alias("parts"))
+    heads = stars.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(texts.select(F.col("cls").alias("a"), "text"), "a")
+    dealt = near.join(stars, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b")
+    rays = dealt.join(texts.select(F.col("cls").alias("b"), "text"), "b")
+    both = heads.select("a", "part", F.lit(None).cast("long").alias("b"), "text").union(rays.select("a", "part", "b", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = np.zeros(0, np.uint64)
         for big in batches:
-            for batch in slices(big, "tb", 1 << 20):
-                ha, la = shingles(batch.column(2), n)
-                hb, lb = shingles(batch.column(3), n)
+            for batch in slices(big, "text", 2 << 20):
+                h, at = shingles(batch.column(3), n)
                 keep = []
-                for i in range(batch.num_rows):
-                    x, y = ha[la[i] : la[i + 1]], hb[lb[i] : lb[i + 1]]
-                    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                for i, b in enumerate(batch.column(2).to_pylist()):
+                    own = h[at[i] : at[i + 1]]
+                    if b is None:
+                        head = own
                         keep.append(False)
                         continue
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                    common = len(np.intersect1d(head, own, assume_unique=True))
+                    keep.append(100 * common >= percent * (len(head) + len(own) - common))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    links = stored(both.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long"), "links")
+    forget(near)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -112,91 +155,114 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select("u", F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u > v").distinct()
-        edges = stored(small, "edges")
+        last, edges = edges, stored(small, "edges")
+        forget(last)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
 
 
+def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, root after more links: components of the roots that the links join, carried to all nodes."""
+    if roots is None:
+        return stored(components(links), "roots")
+    for x in "ab":
+        links = links.join(roots.select(F.col("node").alias(x), F.col("root").alias("r" + x)), x, "left").withColumn("r" + x, F.coalesce("r" + x, x))
+    links = stored(links, "joined")
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+    joined = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")).filter("a <> b")).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    out = stored(roots.union(nodes).join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+    forget(links, roots)
+    return out
+
+
 def members_of_sets(docs: DataFrame, n: int) -> DataFrame:
-    """rep, size, h: every shingle h of each text's set, with the set's size. docs: rep, text."""
+    """cls, size, h: every shingle h of each text's set, with the set's size. docs: cls, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for batch in slices(big, "text", 1 << 20):
                 h, at = shingles(batch.column(1), n)
                 size = np.diff(at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.repeat(size, size)), pa.array(h.view(np.int64))], names=["rep", "size", "h"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.repeat(size, size)), pa.array(h.view(np.int64))], names=["cls", "size", "h"])
 
-    return docs.mapInArrow(run, "rep long, size long, h long")
+    return docs.mapInArrow(run, "cls long, size long, h long")
 
 
-def joined_by_prefix(named: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """All pairs (a, b) of the classes named (rep, root) that may be linked and have different roots.
+def joined_by_prefix(named: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """All pairs (a, b) of the classes named (cls, root) that may be linked and have different roots.
 
     Sets with 100 * intersection >= percent * union share one of the first size - ceil(percent * size / 100) + 1
     shingles of each under any common order, here the rarest among these classes first; so no link is left out.
     Classes of one root are never paired with each other.
     """
-    texts = docs.select(F.col("doc_id").alias("rep"), F.coalesce("text", F.lit("")).alias("text")).join(named, "rep", "left_semi").dropDuplicates(["rep"])
-    rows = stored(members_of_sets(texts, n), "shingles")
-    rare = Window.partitionBy("rep").orderBy("df", "h")
+    rows = stored(members_of_sets(texts.join(named, "cls", "left_semi").select("cls", "text"), n), "shingles")
+    rare = Window.partitionBy("cls").orderBy("df", "h")
     ranked = rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("df")), "h").withColumn("rank", F.row_number().over(rare))
-    prefix = stored(ranked.filter((F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & (F.col("df") > 1)).join(named, "rep").select("h", "rep", "root", "size"), "prefixes")
+    prefix = stored(ranked.filter((F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & (F.col("df") > 1)).join(named, "cls").select("h", "cls", "root", "size"), "prefixes")
+    forget(rows)
     roots = prefix.select("h", "root").distinct()
     sides = roots.withColumnRenamed("root", "ra").join(roots.withColumnRenamed("root", "rb"), "h").filter("ra < rb")
-    a, b = (prefix.select("h", F.col("rep").alias(x), F.col("root").alias("r" + x), F.col("size").alias("s" + x)) for x in "ab")
+    a, b = (prefix.select("h", F.col("cls").alias(x), F.col("root").alias("r" + x), F.col("size").alias("s" + x)) for x in "ab")
     near = 100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")
-    return sides.join(a, ["h", "ra"]).join(b, ["h", "rb"]).filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = stored(sides.join(a, ["h", "ra"]).join(b, ["h", "rb"]).filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "prefix-pairs")
+    forget(prefix)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80, rounds: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept of every document.
 
     docs: doc_id, text; other columns are ignored. Words are lower-cased in A-Z. Texts with equal sets are one class
-    and one row from then on. Classes that share a table key are candidates: each against the smallest class of its
-    bucket, then, for up to rounds rounds and only in buckets that still hold several components, against the class
-    that another order puts first. The classes of buckets that hold several components after that are joined by
-    prefixes of their sets (joined_by_prefix), which misses no link: any two linked classes that share a table key end
-    in one component, however many rounds there were. Null, empty and blank texts:
-    n_shingles 0, linked with nothing, kept. Null doc_id: component null, kept. A repeated doc_id takes the component
-    of each of its rows' texts. No rows: no rows.
+    and one row from then on. Classes that share a table key are candidates: each against the first class of its
+    bucket, then, for up to rounds rounds and only in buckets of three or more that still hold several components,
+    against the class that another order puts first. The classes of buckets that hold several components after that
+    are joined by prefixes of their sets (joined_by_prefix), which misses no link: any two linked classes that share a
+    table key end in one component, however many rounds there were. Null, empty and blank texts: n_shingles 0, linked
+    with nothing, kept. Null doc_id: component null, kept. Rows of one doc_id with different texts are different nodes
+    and each has the component of its own text. No rows: no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = stored(signatures(docs, n), "signatures")
     live = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(live.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.first("left").alias("left"), F.first("right").alias("right")), "classes")
-    keys = classes.select("rep", F.posexplode("left").alias("i", "x"), "right").select("rep", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "rep")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("key", "a")
+    classes = live.groupBy("f1", "f2").agg(F.min("doc_id").alias("least"), F.first("left").alias("left"), F.first("right").alias("right"))
+    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    keys = classes.select("cls", F.posexplode("left").alias("i", "x"), "right").select("cls", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "cls")
+    shared = keys.groupBy("key").agg(F.min("cls").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stored(keys.join(shared, "key"), "members")
-    pairs = stored(members.filter("rep > a").select("a", F.col("rep").alias("b")).distinct(), "pairs")
-    links, done, roots = stored(confirmed(pairs, docs, n, percent), "links"), pairs, None
-    roots = components(links)
+    texts = stored(looked_up(classes.select("cls", "least", "f1", "f2").join(members.select("cls").distinct(), "cls", "left_semi"), docs, n), "texts")
+    done = stored(members.filter("cls > a").select("a", F.col("cls").alias("b")).distinct(), "pairs")
+    roots = joined_roots(None, confirmed(done, texts, n, percent))
+    members, first = stored(members.filter("n > 2").select("key", "cls"), "members"), members
+    forget(first)
+    named = with_roots(members, roots)
     for r in range(1, rounds):
-        named = members.select("key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-        order = F.xxhash64("root", F.lit(r))
-        firsts = named.groupBy("key").agg(F.min_by("rep", F.struct(order, F.xxhash64("rep", F.lit(r)))).alias("c"), F.min_by("root", F.struct(order, F.xxhash64("rep", F.lit(r)))).alias("c_root"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        more = named.join(firsts, "key").filter("root <> c_root").select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+        order = F.struct(F.xxhash64("root", "key", F.lit(r)), F.xxhash64("cls", F.lit(r)))
+        centres = named.groupBy("key").agg(F.min_by("cls", order).alias("c"), F.min_by("root", order).alias("c_root"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+        last, members = members, stored(named.join(centres, "key").select("key", "cls", "root", "c", "c_root"), "members")
+        forget(last)
+        named = members.select("key", "cls", "root")
+        more = members.filter("root <> c_root").select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")).distinct()
         more = stored(more.join(done, ["a", "b"], "left_anti"), "pairs")
         if more.isEmpty():
             break
-        new = stored(confirmed(more, docs, n, percent), "links")
         done = done.union(more)
-        if new.isEmpty():
-            continue
-        links = links.union(new)
-        roots = components(links)
-    named = members.select("key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    rest = stored(named.join(mixed, "key", "left_semi").select("rep", "root").distinct(), "rest")
+        roots = joined_roots(roots, confirmed(more, texts, n, percent))
+        named = with_roots(members.select("key", "cls"), roots)
+    several = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    rest = stored(named.join(several, "key", "left_semi").select("cls", "root").distinct(), "rest")
     if not rest.isEmpty():
-        more = stored(joined_by_prefix(rest, docs, n, percent).join(done, ["a", "b"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            new = stored(confirmed(more, docs, n, percent), "links")
-            if not new.isEmpty():
-                roots = components(links.union(new))
-    named = classes.select("f1", "f2", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("root", "rep").alias("component"))
+        more = joined_by_prefix(rest, texts, n, percent).join(done, ["a", "b"], "left_anti")
+        roots = joined_roots(roots, confirmed(more, texts, n, percent))
+    forget(texts, members, rest)
+    named = with_roots(classes.select("f1", "f2", "least", "cls"), roots)
+    named = named.join(named.groupBy("root").agg(F.min("least").alias("component")), "root").select("f1", "f2", "component")
     ok = F.col("n_shingles") > 0
     return sig.select("doc_id", "n_shingles", F.when(ok, F.col("f1")).alias("f1"), F.when(ok, F.col("f2")).alias("f2")).join(named, ["f1", "f2"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"), F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """rows (cls) with their root; a class without links is its own."""
+    return rows.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
