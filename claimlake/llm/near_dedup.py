@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import buffers, forget, mixed, slices, span_hashes, stored, words_of
@@ -17,6 +17,8 @@ SIDE, HASHES = 8, 3
 BROADCAST_ROWS = 5_000_000
 #: Shingles of the other texts of a star; a larger star is split.
 LOAD = 1 << 18
+#: Bits that stand for a set before its text is read; classes of a bucket that are compared in one task at once.
+BITS, CHUNK = 2048, 4096
 SIGNATURES = "doc_id long, n_shingles long, f1 long, f2 long, left array<long>, right array<long>"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -88,8 +90,24 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, SIGNATURES)
 
 
+def parities(h: np.ndarray, at: np.ndarray) -> pa.Array:
+    """For each set, how many of its shingles fall into each of BITS bins, odd or even, as BITS // 64 integers.
+
+    Two sets differ in as many shingles at least as their bits differ in places, so bits bound what they can share.
+    """
+    out = []
+    for i in range(0, len(at) - 1, 512):
+        last = min(i + 512, len(at) - 1)
+        own = h[at[i] : at[last]]
+        row = np.repeat(np.arange(last - i), np.diff(at[i : last + 1]))
+        odd = np.bincount(row * BITS + (own & np.uint64(BITS - 1)).astype(np.int64), minlength=(last - i) * BITS) & 1
+        out.append(np.packbits(odd.astype(bool)).view(np.int64))
+    flat = np.concatenate([np.zeros(0, np.int64), *out])
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(at)) * (BITS // 64), pa.int32()), pa.array(flat))
+
+
 def looked_up(classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """cls, size, text: one text of each class (cls, least, f1, f2), whatever other texts its smallest doc_id has."""
+    """cls, size, bits, text: one text of each class (cls, least, f1, f2), whatever other texts its smallest doc_id has."""
     wanted = classes.select(F.col("least").alias("doc_id"), "cls", "f1", "f2")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
@@ -100,23 +118,25 @@ def looked_up(classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
                 h, at = shingles(batch.column(3), n)
                 marks = fingerprints(h, at).view(np.int64)
                 own = (marks[0] == np.asarray(batch.column(1))) & (marks[1] == np.asarray(batch.column(2)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), batch.column(3)], names=["cls", "size", "text"]).filter(pa.array(own))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), parities(h, at), batch.column(3)], names=["cls", "size", "bits", "text"]).filter(pa.array(own))
 
     found = docs.join(wanted, "doc_id").select("cls", "f1", "f2", F.coalesce("text", F.lit("")).alias("text"))
-    return found.mapInArrow(run, "cls long, size long, text string").dropDuplicates(["cls"])
+    return found.mapInArrow(run, "cls long, size long, bits array<long>, text string").dropDuplicates(["cls"])
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets have 100 * intersection >= percent * union.
 
-    Pairs whose sizes forbid it go first. Each a's text then stands before the texts of its bs in a sorted partition;
+    Pairs whose sizes or bits forbid it go first. Each a's text then stands before the texts of its bs in a sorted partition;
     an a whose bs hold more than LOAD shingles is split into several such stars, so its text is copied once for each
     of these and not for each pair.
     """
-    sizes = texts.select("cls", "size")
     for x in "ab":
-        pairs = pairs.join(sizes.select(F.col("cls").alias(x), F.col("size").alias("s" + x)), x)
-    near = stored(pairs.filter(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")), "near")
+        pairs = pairs.join(texts.select(F.col("cls").alias(x), F.col("size").alias("s" + x), F.col("bits").alias("b" + x)), x)
+    apart = F.aggregate(F.zip_with("ba", "bb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, k: n + k)
+    both = F.col("sa") + F.col("sb")
+    near = pairs.filter((100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")) & ((100 + percent) * (both - apart) >= 2 * percent * both))
+    near = stored(near.select("a", "b", "sb"), "near")
     stars = near.groupBy("a").agg(F.expr(f"sum(sb) div {LOAD} + 1").alias("parts"))
     heads = stars.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(texts.select(F.col("cls").alias("a"), "text"), "a")
     dealt = near.join(stars, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), "b")
@@ -177,38 +197,51 @@ def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return out
 
 
-def members_of_sets(docs: DataFrame, n: int) -> DataFrame:
-    """cls, size, h: every shingle h of each text's set, with the set's size. docs: cls, text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for batch in slices(big, "text", 1 << 20):
-                h, at = shingles(batch.column(1), n)
-                size = np.diff(at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.repeat(size, size)), pa.array(h.view(np.int64))], names=["cls", "size", "h"])
-
-    return docs.mapInArrow(run, "cls long, size long, h long")
-
+def compared_in_buckets(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of classes that share a bucket of members (key, cls, root), have different roots, and whose sizes and bits allow a link.
 
-def joined_by_prefix(named: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """All pairs (a, b) of the classes named (cls, root) that may be linked and have different roots.
-
-    Sets with 100 * intersection >= percent * union share one of the first size - ceil(percent * size / 100) + 1
-    shingles of each under any common order, here the rarest among these classes first; so no link is left out.
-    Classes of one root are never paired with each other.
+    Buckets are compared inside tasks, so only what passes becomes a row. A bucket of more than CHUNK classes is dealt
+    into parts, and each two of these meet in a group of their own.
     """
-    rows = stored(members_of_sets(texts.join(named, "cls", "left_semi").select("cls", "text"), n), "shingles")
-    rare = Window.partitionBy("cls").orderBy("df", "h")
-    ranked = rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("df")), "h").withColumn("rank", F.row_number().over(rare))
-    prefix = stored(ranked.filter((F.col("rank") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & (F.col("df") > 1)).join(named, "cls").select("h", "cls", "root", "size"), "prefixes")
-    forget(rows)
-    roots = prefix.select("h", "root").distinct()
-    sides = roots.withColumnRenamed("root", "ra").join(roots.withColumnRenamed("root", "rb"), "h").filter("ra < rb")
-    a, b = (prefix.select("h", F.col("cls").alias(x), F.col("root").alias("r" + x), F.col("size").alias("s" + x)) for x in "ab")
-    near = 100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")
-    pairs = stored(sides.join(a, ["h", "ra"]).join(b, ["h", "rb"]).filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "prefix-pairs")
-    forget(prefix)
-    return pairs
+    parts = members.groupBy("key").agg(F.expr(f"(count(1) - 1) div {CHUNK} + 1").alias("parts"))
+    dealt = members.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("cls"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = dealt.join(texts.select("cls", "size", "bits"), "cls").select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "size", "bits")
+
+    def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own, cls, root, size = (np.asarray(batch.column(k)) for k in (3, 4, 5, 6))
+        bits = np.asarray(batch.column(7).flatten()).view(np.uint64).reshape(len(own), -1)
+        by = np.argsort(size, kind="stable")
+        own, cls, root, size, bits = own[by], cls[by], root[by], size[by], bits[by]
+        across = batch.column(1)[0] != batch.column(2)[0]
+        out = []
+        ends = np.searchsorted(size, size * 100 // percent, "right")
+        for x in range(len(own)):
+            to = slice(x + 1, ends[x])
+            some = np.flatnonzero((root[to] != root[x]) & ((own[to] != own[x]) if across else True)) + x + 1
+            apart = np.bitwise_count(bits[some] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            total = size[some] + size[x]
+            some = some[(100 + percent) * (total - apart) >= 2 * percent * total]
+            out.append((np.minimum(cls[x], cls[some]), np.maximum(cls[x], cls[some])))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *(p[k] for p in out)])) for k in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        mark = None
+        for batch in batches:
+            group = np.stack([np.asarray(batch.column(k)) for k in range(3)])
+            cuts = [0, *(np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                if x == y:
+                    continue
+                if held and mark != tuple(group[:, x]):
+                    yield pairs(pa.concat_batches(held))
+                    held = []
+                mark = tuple(group[:, x])
+                held.append(batch.slice(x, y - x))
+        if held:
+            yield pairs(pa.concat_batches(held))
+
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80, rounds: int = 3) -> DataFrame:
@@ -217,9 +250,9 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80, rounds: int
     docs: doc_id, text; other columns are ignored. Words are lower-cased in A-Z. Texts with equal sets are one class
     and one row from then on. Classes that share a table key are candidates: each against the first class of its
     bucket, then, for up to rounds rounds and only in buckets of three or more that still hold several components,
-    against the class that another order puts first. The classes of buckets that hold several components after that
-    are joined by prefixes of their sets (joined_by_prefix), which misses no link: any two linked classes that share a
-    table key end in one component, however many rounds there were. Null, empty and blank texts: n_shingles 0, linked
+    against the class that another order puts first. In buckets that hold several components after that, all classes of
+    different components are compared (compared_in_buckets), so any two linked classes that share a table key end in
+    one component, however many rounds there were. Null, empty and blank texts: n_shingles 0, linked
     with nothing, kept. Null doc_id: component null, kept. Rows of one doc_id with different texts are different nodes
     and each has the component of its own text. No rows: no rows.
     """
@@ -227,7 +260,7 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80, rounds: int
     sig = stored(signatures(docs, n), "signatures")
     live = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = live.groupBy("f1", "f2").agg(F.min("doc_id").alias("least"), F.first("left").alias("left"), F.first("right").alias("right"))
-    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    classes = stored(classes.orderBy("least", "f1").withColumn("cls", F.monotonically_increasing_id()), "classes")  # classes of older documents come first: they are the likelier sources of copies
     keys = classes.select("cls", F.posexplode("left").alias("i", "x"), "right").select("cls", "i", "x", F.posexplode("right").alias("j", "y")).select(F.xxhash64("i", "x", "j", "y").alias("key"), "cls")
     shared = keys.groupBy("key").agg(F.min("cls").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stored(keys.join(shared, "key"), "members")
@@ -251,9 +284,9 @@ def near_duplicates(docs: DataFrame, n: int = 2, percent: int = 80, rounds: int
         roots = joined_roots(roots, confirmed(more, texts, n, percent))
         named = with_roots(members.select("key", "cls"), roots)
     several = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    rest = stored(named.join(several, "key", "left_semi").select("cls", "root").distinct(), "rest")
+    rest = stored(named.join(several, "key", "left_semi"), "rest")
     if not rest.isEmpty():
-        more = joined_by_prefix(rest, texts, n, percent).join(done, ["a", "b"], "left_anti")
+        more = stored(compared_in_buckets(rest, texts, percent).join(done, ["a", "b"], "left_anti"), "pairs")
         roots = joined_roots(roots, confirmed(more, texts, n, percent))
     forget(texts, members, rest)
     named = with_roots(classes.select("f1", "f2", "least", "cls"), roots)

@@ -222,3 +222,28 @@ def test_near_dedup_links_beside_a_long_common_passage(spark):
     assert len({c for _, c in want.values()}) == 60
     got = by_id(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
     assert {i: g.component_id for i, g in got.items()} == {i: c for i, (_, c) in want.items()}
+
+
+def test_near_dedup_edges(spark, monkeypatch):
+    """Repeated ids with other texts, nulls, a very long text beside its near copy, clashing columns; buckets dealt into parts."""
+    monkeypatch.setattr(near_dedup, "CHUNK", 16)
+    monkeypatch.setattr(near_dedup, "LOAD", 500)
+    shared = [f"p{i}" for i in range(81)]
+    rows = [(100 + 2 * g + x, " ".join([*shared, f"c{g}", f"d{g}", *(f"o{g}.{x}.{i}" for i in range(9))])) for g in range(30) for x in (0, 1)]
+    long = " ".join(f"w{i}" for i in range(150_000))
+    rows += [(7, "alpha beta gamma delta"), (7, "other words are here"), (9, "Other words are here"), (8, "alpha  beta\ngamma delta"), (5, None), (6, " \t"), (3, long), (4, long + " end"), (2, long), (2, long), (None, "alpha beta gamma delta")]
+    df = spark.createDataFrame([(i, t, "k", 1, 2) for i, t in rows], "doc_id long, text string, key string, cls int, size int").repartition(5)
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect())
+    want = Counter({(7, 7, True): 2, (9, 7, False): 1, (8, 7, False): 1, (5, 5, True): 1, (6, 6, True): 1, (3, 2, False): 1, (4, 2, False): 1, (2, 2, True): 2, (None, None, True): 1})
+    want.update((i, i - i % 2, i % 2 == 0) for i in range(100, 160))
+    assert got == want
+
+
+def test_parities_bound_differences():
+    rng = np.random.default_rng(3)
+    for n, d in ((5, 1), (300, 60), (5000, 900)):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[d // 2 :], rng.integers(0, 2**63, d, dtype=np.uint64)]))
+        bits = near_dedup.parities(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])).to_pylist()
+        apart = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(*bits, strict=True))
+        assert apart <= len(np.setxor1d(a, b)) and apart > 0.5 * min(d, 1000)
