@@ -1,10 +1,10 @@
-"""Joins that claims need: nearest preceding row, tiered keys, set algebra with provenance."""
+"""Joins that claims need: nearest preceding row, table mutations, set algebra with provenance. Null keys are a key of their own."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,14 +21,53 @@ def nearest_before(left: DataFrame, right: DataFrame, key: str, at: str, value:
     return both.withColumn(f"before_{value}", F.last("__value", ignorenulls=True).over(w)).filter("__side = 1").drop("__side", "__value")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """New rows replace old rows of the same key."""
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
+def anti(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of df whose key other has not; nulls equal nulls."""
+    known = other.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
+    return df.join(known, reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys)), "left_anti")
 
 
-def insert_missing(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Old rows stay; new rows come in only under keys that old has not."""
-    return old.unionByName(new.join(old.select(*keys).distinct(), keys, "left_anti"))
+def one_each(df: DataFrame, keys: list[str], order: list[Column] | None, last: bool) -> DataFrame:
+    """One row of each key: its first or last by order (total, for a defined result), by partial aggregation. No order: df as it is, its keys must be distinct."""
+    if not order:
+        return df
+    pick = (F.max_by if last else F.min_by)(F.struct(*df.columns), F.struct(*order))
+    return df.groupBy(*keys).agg(pick.alias("__row")).select("__row.*")
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """New rows replace old rows of the same key; of new rows with one key the last by order comes in."""
+    new = one_each(new, keys, order, last=True)
+    return anti(old, new, keys).unionByName(new)
+
+
+def insert_missing(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Old rows stay; new rows come in only under keys that old has not, of several with one key the first by order."""
+    return old.unionByName(anti(one_each(new, keys, order, last=False), old, keys))
+
+
+def replace_wholesale(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """All old rows of a key that new holds go, and all new rows come in."""
+    return anti(old, new, keys).unionByName(new)
+
+
+def replace_uncurated(old: DataFrame, new: DataFrame, keys: list[str], within: list[str], made: Column, curated: Column) -> DataFrame:
+    """A machine's rows are replaced within each group that new holds; curated rows and other sources' rows stay, and new rows never come in over a curated key.
+
+    made: rows of the machine; curated: rows that a person has ruled on. Nulls in either count as false.
+    """
+    deletable = F.coalesce(made, F.lit(False)) & ~F.coalesce(curated, F.lit(False))
+    groups = new.select(*(F.col(k).alias(f"__{k}") for k in within)).distinct().withColumn("__hit", F.lit(True))
+    marked = old.join(groups, reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in within)), "left")
+    kept = marked.filter(F.col("__hit").isNull() | ~deletable).select(old.columns)
+    return kept.unionByName(anti(new, old.filter(~deletable), keys))
+
+
+def renamed_identity(df: DataFrame, id_col: str, keys: list[str], old: Column, new: Column) -> DataFrame:
+    """Rows under an old identity move to the new one; where the new one holds the key already, its own row stays and the moved one goes."""
+    moved = df.withColumn("__moved", F.coalesce(F.col(id_col) == old, F.lit(False))).withColumn(id_col, F.when(F.col("__moved"), new).otherwise(F.col(id_col)))
+    pick = F.min_by(F.struct(*df.columns), F.col("__moved"))
+    return moved.groupBy(id_col, *keys).agg(pick.alias("__row")).select("__row.*").select(df.columns)
 
 
 def without_orphans(df: DataFrame, key: str, referring: list[DataFrame]) -> DataFrame:
@@ -37,7 +76,7 @@ def without_orphans(df: DataFrame, key: str, referring: list[DataFrame]) -> Data
 
 
 def compared(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Each key with whether it was added, removed or shared."""
-    a, b = old.select(key).distinct().withColumn("__a", F.lit(1)), new.select(key).distinct().withColumn("__b", F.lit(1))
-    state = F.when(F.col("__a").isNull(), "added").when(F.col("__b").isNull(), "removed").otherwise("shared")
-    return a.join(b, key, "full").select(key, state.alias("state"))
+    """Each key with whether it was added, removed or shared: one union and one aggregation."""
+    sides = old.select(key, F.lit(True).alias("__a"), F.lit(False).alias("__b")).union(new.select(key, F.lit(False), F.lit(True)))
+    seen = sides.groupBy(key).agg(F.bool_or("__a").alias("__a"), F.bool_or("__b").alias("__b"))
+    return seen.select(key, F.when(F.col("__a") & F.col("__b"), "shared").when(F.col("__a"), "removed").otherwise("added").alias("state"))

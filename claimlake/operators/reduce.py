@@ -1,4 +1,8 @@
-"""Reductions of observations to facts: windows, roll-ups, verdict rules."""
+"""Reductions of observations to facts: windows, roll-ups, verdict rules. Null keys are a key of their own.
+
+flips, runs, admitted, spread_top and state_before sort each key's rows in one task: a key (a run, a book, a pool) is
+bounded by what one writer produces. Everything else aggregates partially before it shuffles.
+"""
 
 from __future__ import annotations
 
@@ -7,15 +11,21 @@ from pyspark.sql import functions as F
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key by order; order must be total for a defined result. Null keys are a key of their own."""
-    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__rn = 1").drop("__rn")
+    """The first row of each key by order; order must be total for a defined result."""
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__row")).select("__row.*")
 
 
 def frozen(df: DataFrame, keys: list[str], seq: str, settled: Column, value: str) -> DataFrame:
-    """Freeze rule: a key's first settled row ends it; its value is the last non-null one up to that row, later ones are ignored."""
-    settle = df.groupBy(*keys).agg(F.min(F.when(settled, F.col(seq))).alias("settled_at"))
-    before = df.join(settle, keys).filter(F.col("settled_at").isNull() | (F.col(seq) <= F.col("settled_at")))
-    return before.groupBy(*keys).agg(F.first("settled_at").alias("settled_at"), F.max_by(value, F.when(F.col(value).isNotNull(), F.col(seq))).alias("last_value"), F.count(F.lit(1)).alias("n_before"))
+    """Freeze rule: a key's first settled row ends it; later rows are ignored.
+
+    last_value: the value of the last row up to the settled one, null too; a settled row without a value keeps the one
+    before it. n_before: rows up to the settled one. settled_at: null where nothing settled, and then all rows count.
+    """
+    firm = F.coalesce(settled, F.lit(False))
+    at = F.min(F.when(firm, F.col(seq))).over(Window.partitionBy(*keys))
+    before = df.withColumn("__firm", firm).withColumn("__at", at).filter(F.col("__at").isNull() | (F.col(seq) <= F.col("__at")))
+    counts = ~F.col("__firm") | F.col(value).isNotNull()
+    return before.groupBy(*keys).agg(F.first("__at").alias("settled_at"), F.max_by(value, F.when(counts, F.col(seq))).alias("last_value"), F.count(F.lit(1)).alias("n_before"))
 
 
 def flips(df: DataFrame, keys: list[str], seq: str, verdict: str) -> DataFrame:
@@ -40,7 +50,7 @@ def admitted(df: DataFrame, pool: str, order: list[Column], demand: str, budget:
 def spread_top(df: DataFrame, keys: list[str], group: str, order: list[Column], k: int) -> DataFrame:
     """The k best rows of each key, taking each group's best before any group's second."""
     ranked = df.withColumn("__g", F.row_number().over(Window.partitionBy(*keys, group).orderBy(*order)))
-    return ranked.withColumn("pick", F.row_number().over(Window.partitionBy(*keys).orderBy("__g", *order))).filter(F.col("pick") <= k).drop("__g")
+    return ranked.filter(F.col("__g") <= k).withColumn("pick", F.row_number().over(Window.partitionBy(*keys).orderBy("__g", *order))).filter(F.col("pick") <= k).drop("__g")
 
 
 def confusion(df: DataFrame, score: str, label: Column, thresholds: list[float]) -> DataFrame:
@@ -48,3 +58,59 @@ def confusion(df: DataFrame, score: str, label: Column, thresholds: list[float])
     hit = F.col(score) >= F.col("threshold")
     each = df.filter(F.col(score).isNotNull()).withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
     return each.groupBy("threshold").agg(F.count_if(hit & label).alias("tp"), F.count_if(hit & ~label).alias("fp"), F.count_if(~hit & ~label).alias("tn"), F.count_if(~hit & label).alias("fn"))
+
+
+def _share(n: Column, of: Column) -> Column:
+    return F.when(of > 0, n / of).otherwise(0.0)
+
+
+def score_summary(df: DataFrame, score: str, label: Column, thresholds: list[float]) -> DataFrame:
+    """confusion() with accuracy, precision and recall, 0 where a denominator is; unanswered rows (null score) are counted beside."""
+    c = F.col
+    each = df.withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
+    hit, some = c(score) >= c("threshold"), c(score).isNotNull()
+    cells = {"tp": hit & label, "fp": hit & ~label, "tn": ~hit & ~label, "fn": ~hit & label}
+    out = each.groupBy("threshold").agg(*(F.count_if(some & x).alias(k) for k, x in cells.items()), F.count_if(~some).alias("unanswered"))
+    return out.select("*", _share(c("tp") + c("tn"), c("tp") + c("tn") + c("fp") + c("fn")).alias("accuracy"), _share(c("tp"), c("tp") + c("fp")).alias("precision"), _share(c("tp"), c("tp") + c("fn")).alias("recall"))
+
+
+def headline(df: DataFrame, keys: list[str], outcome: str, expect: str) -> DataFrame:
+    """Counts behind the four headline metrics: precision and recall of keep, exact outcomes, abstentions; middle, unstable and unanswered abstain."""
+    o, e = F.col(outcome), F.col(expect)
+    counts = {"cases": F.lit(True), "pred_keep": o == "keep", "exp_keep": e == "keep", "true_keep": (o == "keep") & (e == "keep"), "decided": o.isin("keep", "drop"), "exact": (o == e) & o.isin("keep", "drop"), "abstained": o.isin("middle", "unstable", "unanswered")}
+    return df.groupBy(*keys).agg(*(F.count_if(x).alias(k) for k, x in counts.items()))
+
+
+def case_outcomes(df: DataFrame, keys: list[str], p: str, band: Column) -> DataFrame:
+    """The band that all answered draws of a case agree on, or unstable; unanswered without any; their median and spread."""
+    x = df.withColumn("__band", F.when(F.col(p).isNotNull(), band)).groupBy(*keys).agg(F.min("__band").alias("__lo"), F.max("__band").alias("__hi"), F.median(p).alias("median"), (F.max(p) - F.min(p)).alias("spread"), F.count(p).alias("answers"))
+    out = F.when(F.col("answers") == 0, "unanswered").when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise("unstable")
+    return x.select(*keys, out.alias("outcome"), "median", "spread", "answers")
+
+
+def state_before(df: DataFrame, keys: list[str], seq: str, value: str) -> DataFrame:
+    """Each row with the distinct values of its key before it, in order of first appearance."""
+    w = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.row_number().over(Window.partitionBy(*keys, value).orderBy(seq)) == 1
+    marked = df.withColumn("__new", F.when(first, F.col(value)))
+    return marked.withColumn("known", F.collect_list("__new").over(w)).drop("__new")
+
+
+def separation(df: DataFrame, keys: list[str], score: str, label: Column) -> DataFrame:
+    """Rows with a score, deciles, and the area under the curve by rank sums over distinct scores; null where one class is missing.
+
+    Rows are counted by score before the window, so it sorts distinct scores only.
+    """
+    by = df.filter(F.col(score).isNotNull()).groupBy(*keys, score).agg(F.count_if(label).alias("__p"), F.count_if(~label).alias("__n"))
+    w = Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    under = F.coalesce(F.sum("__n").over(w), F.lit(0)) + F.col("__n") / 2
+    each = by.withColumn("__area", F.col("__p") * under)
+    p, n = F.sum("__p"), F.sum("__n")
+    return each.groupBy(*keys).agg((p + n).alias("n"), F.when((p > 0) & (n > 0), F.sum("__area") / (p * n)).alias("auc"))
+
+
+def recurrences(df: DataFrame, keys: list[str], chapter: str, seq: str) -> DataFrame:
+    """occurrences, the distinct chapters in order of first appearance, and the first of them, for each key."""
+    per = df.groupBy(*keys, chapter).agg(F.count(F.lit(1)).alias("__n"), F.min(seq).alias("__at"))
+    seen = F.transform(F.array_sort(F.collect_list(F.struct("__at", chapter))), lambda x: x[chapter])
+    return per.groupBy(*keys).agg(F.sum("__n").alias("occurrences"), seen.alias("chapters")).withColumn("first_chapter", F.get("chapters", F.lit(0)))
