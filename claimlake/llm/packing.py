@@ -7,13 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import once, slices, stored
 from .tokenizers_io import WordBpe
 
-#: Sources beyond this many share queues by hash, which bounds the table of queue totals.
+#: Where there are more sources, those without a target share so many queues by hash, which bounds the table of queue totals; a source with a target always has a queue of its own.
 MOST_QUEUES = 1024
 #: Rows of the table of queue offsets (one for each partition and queue) up to which it is broadcast.
 BROADCAST_ROWS = 500_000
@@ -22,16 +22,21 @@ TOKENS = "doc_id long, queue string, part int, queued long, doc_tokens long, ids
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string"
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int, hashed: bool = False) -> DataFrame:
+def queue_of(source: Column, own: list[str] | None) -> Column:
+    """The queue of a source; own: the sources that have one each while the others share, None for all."""
+    each = F.coalesce(F.concat(F.lit("s:"), source.cast("string")), F.lit("null"))
+    if own is None:
+        return each
+    return F.when(source.cast("string").isin(own), each).otherwise(F.concat(F.lit("h:"), F.pmod(F.xxhash64(each), F.lit(MOST_QUEUES)).cast("string")))
+
+
+def tokenised(docs: DataFrame, path: str, end_id: int, own: list[str] | None = None) -> DataFrame:
     """Each document's ids and end_id, with its place in its partition's share of its queue.
 
     A queue is the documents of one source, in partition order; queued is the number of the queue's ids before the
     document within the partition.
     """
-    source = F.coalesce(F.concat(F.lit("s:"), F.col("source").cast("string")), F.lit("null"))
-    if hashed:
-        source = F.concat(F.lit("h:"), F.pmod(F.xxhash64(source), F.lit(MOST_QUEUES)).cast("string"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("queue"), F.spark_partition_id().alias("part"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), queue_of(F.col("source"), own).alias("queue"), F.spark_partition_id().alias("part"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = once(("word-bpe", path), lambda: WordBpe(path))
@@ -136,6 +141,9 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, grain:
     source; None: each source's share of all ids, so that all queues end together. A window holds each source's
     quantum up to a grain; deficits pass from window to window and, as every place follows from counts alone, from
     partition to partition. Where a queue ends early, the others fill the windows in proportion to their weights.
+    Sources without a target in weights get a hundredth of a mean target each; beyond MOST_QUEUES sources these share
+    queues by hash, the others keep theirs. Within a queue documents come in the order of the input's partitions, so
+    another split of the input gives another packing of the same proportions.
 
     Returns a row for each piece: doc_id, start and length in the document's ids, ids_crc32, doc_tokens, sequence_id,
     offset, queue. Null or empty text: end_id alone. Null source: a queue of its own. Null doc_id and repeated rows:
@@ -148,7 +156,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, grain:
         raise ValueError("window must be a power of two and grain no larger")
     keyed = F.coalesce(F.concat(F.lit("s:"), F.col("source").cast("string")), F.lit("null"))
     names = docs.select(keyed.alias("q")).distinct().limit(MOST_QUEUES + 1).count()
-    tokens = stored(tokenised(docs, path, end_id, names > MOST_QUEUES), "tokens")
+    tokens = stored(tokenised(docs, path, end_id, sorted(weights or {}) if names > MOST_QUEUES else None), "tokens")
     counts = stored(tokens.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("n")), "queues")
     totals = {r.queue: r.n for r in counts.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     plan = Schedule(totals, weights and {"s:" + k: v for k, v in weights.items()}, window, grain)

@@ -95,6 +95,14 @@ def measures(texts: pa.Array, limits: dict[int, float]) -> dict[str, np.ndarray]
     return out
 
 
+def verdicts(texts: pa.Array, limits: dict[int, float], line_limit: float, symbol_limit: float) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """measures(), whether the base rules fail, and whether a text is kept."""
+    m = measures(texts, limits)
+    base = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+    kept = ~(base | (m["grams"] > np.array(list(limits.values()))).any(axis=1) | (m["lines"] > line_limit) | (m["n_symbols"] > symbol_limit * m["n_words"]))
+    return m, base, kept
+
+
 def rate(docs: DataFrame, limits: dict[int, float] | None = None, line_limit: float = LINE_LIMIT, symbol_limit: float = SYMBOL_LIMIT) -> DataFrame:
     """Measures and verdict of every whole text.
 
@@ -108,14 +116,23 @@ def rate(docs: DataFrame, limits: dict[int, float] | None = None, line_limit: fl
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = np.array(list(limits.values()))
         for big in batches:
             for batch in slices(big, "text", 2 << 20):
-                m = measures(batch.column(1), limits)
-                base = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
-                kept = ~(base | (m["grams"] > top).any(axis=1) | (m["lines"] > line_limit) | (m["n_symbols"] > symbol_limit * m["n_words"]))
+                m, base, kept = verdicts(batch.column(1), limits, line_limit, symbol_limit)
                 grams = pa.array(m["grams"].tolist(), pa.list_(pa.float64()))
                 names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(m[k], pa.int64()) for k in names), pa.array(base), pa.array(kept), pa.array(m["lines"]), grams], names=["doc_id", *names, "base_failed", "kept", "dup_line_chars", "dup_gram_chars"])
 
     return rows.mapInArrow(run, SCHEMA)
+
+
+def passing(docs: DataFrame, limits: dict[int, float] | None = None, line_limit: float = LINE_LIMIT, symbol_limit: float = SYMBOL_LIMIT) -> DataFrame:
+    """The rows of docs, all columns, that rate() keeps; each row by its own text, no shuffle."""
+    limits = dict(sorted((limits or LIMITS).items()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for batch in slices(big, "text", 2 << 20):
+                yield batch.filter(pa.array(verdicts(batch.column(batch.schema.get_field_index("text")), limits, line_limit, symbol_limit)[2]))
+
+    return docs.mapInArrow(run, docs.schema)

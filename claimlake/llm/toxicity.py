@@ -199,26 +199,44 @@ def learned(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, mos
     return counts, {r.word: r.odds for r in rows}, math.log((bad + 1) / (good + 1)) + max(absent, -6.0)
 
 
-def score(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000) -> DataFrame:
-    """doc_id, score and n_hits (distinct toxic words, restored ones included) of every whole text.
-
-    docs: doc_id, text; other columns are ignored. The model is learned() from the labels. Null or empty text: the
-    score of a text without toxic words. Without labels every score is the same. Null doc_id and repeated rows: a row
-    each. One pass over the rows for the letters, one for the scores; no shuffle of texts but the labelled ones.
-    """
+def _scored(docs: DataFrame, labels: DataFrame, most_labelled: int, schema, columns) -> DataFrame:
+    """columns(batch, hits, scores) of every batch of docs; hits and scores: of its column text."""
     counts, weights, bias = learned(docs, labels, most_labelled)
     model = docs.sparkSession.sparkContext.broadcast((counts, weights, bias))  # 27 ** 3 counts and the words learned
     key = ("toxic", hash((counts.tobytes(), *sorted(weights.items()))))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = once(key, lambda: Scorer(Restorer(model.value[0]), *model.value[1:]))
         for big in batches:
             for batch in slices(big, "text", 4 << 20):
-                hits = [scorer.hits(t) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scorer.score(h) for h in hits], pa.float64()), pa.array([len(h) for h in hits], pa.int64())], names=["doc_id", "score", "n_hits"])
+                hits = [scorer.hits(t or "") for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+                yield columns(batch, hits, [scorer.score(h) for h in hits])
+
+    return docs.mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000) -> DataFrame:
+    """doc_id, score and n_hits (distinct toxic words, restored ones included) of every whole text.
+
+    docs: doc_id, text; other columns are ignored. The model is learned() from the labels. Null or empty text: the
+    score of a text without toxic words. Without labels every score is the same. Null doc_id and repeated rows: a row
+    each. No rows: no rows. One pass over the rows for the letters, one for the scores; no shuffle of texts but the
+    labelled ones.
+    """
+
+    def columns(batch: pa.RecordBatch, hits: list, scores: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array([len(h) for h in hits], pa.int64())], names=["doc_id", "score", "n_hits"])
+
+    return _scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, most_labelled, SCORES, columns)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, most_labelled: int = 20_000) -> DataFrame:
+    """The rows of docs, all columns, that score under limit; each row by its own text, without a shuffle of rows. Rules as for score()."""
+
+    def columns(batch: pa.RecordBatch, hits: list, scores: list) -> pa.RecordBatch:
+        return batch.filter(pa.array([x < limit for x in scores], pa.bool_()))
 
-    return rows.mapInArrow(run, SCORES)
+    return _scored(docs, labels, most_labelled, docs.schema, columns)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
