@@ -45,7 +45,7 @@ def forget(*tables: DataFrame | None) -> None:
 class Memo(dict):
     """A bounded memo of a pure function: m[key] computes what is missing; trim() after each batch."""
 
-    def __init__(self, compute, limit: int = 1_000_000):
+    def __init__(self, compute, limit: int = 250_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 

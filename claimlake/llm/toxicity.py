@@ -137,9 +137,9 @@ class Scorer:
             out.update(known)
         for word in self.restorer.spaced(low):
             out.update(self.parts.findall(word))
-        if len(self.clean) > 600_000:
+        if len(self.clean) > 250_000:
             self.clean.clear()
-        if len(self.found) > 100_000:
+        if len(self.found) > 50_000:
             self.found.clear()
         return out
 
