@@ -92,7 +92,7 @@ def resized_pool(pool: Column, spent: Column, census: Column, reserve: Column) -
 
 def support_floor(chapters: Column) -> Column:
     """Mentions under which a trope is gated: a twentieth of the chapters, 3 at least."""
-    return F.greatest(F.lit(3).cast("long"), F.expr("bigint(0)") + F.floor(chapters / 20))
+    return F.greatest(F.lit(3).cast("long"), F.floor(chapters / 20))
 
 
 def stale(last_seen: Column, as_of: Column, days: int = 180) -> Column:
