@@ -133,7 +133,7 @@ def _mapped(docs: DataFrame, path: str, pattern: str, schema: str, columns) -> D
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = once(("codec", path, pattern), lambda: Codec(shared.value[0], pattern, shared.value[1]))
+        codec = once(("bpe", "codec", path, pattern), lambda: Codec(shared.value[0], pattern, shared.value[1]))
         for big in batches:
             for batch in slices(big, "text", 4 << 20):
                 yield columns(codec, batch)
@@ -161,7 +161,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = once(("spelled", path), lambda: {r: k for k, r in ranks.value.items()})
+        spelled = once(("bpe", "spelled", path), lambda: {r: k for k, r in ranks.value.items()})
         for batch in batches:
             raw = [None if x is None else b"".join(map(spelled.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["doc_id", "raw"])

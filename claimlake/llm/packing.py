@@ -43,7 +43,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int, own: list[str] | None = N
         end = np.array([end_id], bpe.dtype).tobytes()
         width, before = len(end), {}
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text", 2 << 20):
                 queues = batch.column(1).to_pylist()
                 ids = [bpe.encode(t.encode()) + end for t in batch.column(3).to_pylist()]
                 bpe.trim()
@@ -169,7 +169,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, grain:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "ids", 2 << 20):
+            for batch in slices(whole, "ids", 1 << 20):
                 queue = np.array([number[q] for q in batch.column(1).to_pylist()])
                 first, n = (np.asarray(batch.column(i)).astype(np.int64) for i in (2, 3))
                 doc, start, size, seq, off = plan.pieces(queue, first, n)

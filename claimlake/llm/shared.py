@@ -62,8 +62,10 @@ _SINGLETONS: dict = {}
 
 
 def once(key, make):
-    """make() once for each Python worker and key, so that memos outlive a task."""
+    """make() once for each Python worker and key, so that memos outlive a task; what other operators made, told by key[0], goes."""
     if key not in _SINGLETONS:
+        for other in [k for k in _SINGLETONS if k[0] != key[0]]:
+            del _SINGLETONS[other]
         _SINGLETONS[key] = make()
     return _SINGLETONS[key]
 
@@ -97,18 +99,24 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _LETTERS = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS = {}
+_POWERS: dict[int, np.ndarray] = {}
+#: Powers that a worker keeps; for a longer text they are made anew.
+KEPT_POWERS = 1 << 21
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(n: int) -> tuple[np.ndarray, ...]:
     """Powers of the multiplier and of its inverse mod 2**64, n of each."""
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 16)
-        for name, base in (("up", _MULTIPLIER), ("down", pow(_MULTIPLIER, -1, 2**64))):
-            steps = np.full(size, base, np.uint64)
+    out = []
+    for base in (_MULTIPLIER, pow(_MULTIPLIER, -1, 2**64)):
+        powers = _POWERS.get(base, ())
+        if len(powers) < n:
+            steps = np.full(max(n, 1 << 16), base, np.uint64)
             steps[0] = 1
-            _POWERS[name] = np.cumprod(steps)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+            powers = np.cumprod(steps)
+            if len(powers) <= KEPT_POWERS:
+                _POWERS[base] = powers
+        out.append(powers[:n])
+    return tuple(out)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
