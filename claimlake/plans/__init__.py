@@ -1,3 +1,3 @@
 """The queries over the given tables; importing the package registers all of them."""
 
-from . import claims, imports, queries, store  # noqa: F401
+from . import claims, imports, queries, reading, store  # noqa: F401

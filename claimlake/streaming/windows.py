@@ -22,3 +22,15 @@ def once_each(events: DataFrame, at: str, key: str, late: str = "1 hour") -> Dat
     if events.isStreaming:
         return events.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
     return events.dropDuplicates([key])
+
+
+def sessions(events: DataFrame, at: str, keys: list[str], gap: str, late: str = "1 hour") -> DataFrame:
+    """Stretches of a key's events with no silence longer than gap between: begun, last_event, n. Rows without a time take no part.
+
+    A run that speaks again after a silence begins another stretch. On a stream, a stretch comes out once the watermark
+    has passed its end.
+    """
+    rows = events.filter(F.col(at).isNotNull())
+    if rows.isStreaming:
+        rows = rows.withWatermark(at, late)
+    return rows.groupBy(F.session_window(at, gap).alias("w"), *keys).agg(F.min(at).alias("begun"), F.max(at).alias("last_event"), F.count(F.lit(1)).alias("n")).select(*keys, "begun", "last_event", "n")
