@@ -7,18 +7,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .reduce import WITHIN, pieced
+
 
 def nearest_before(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:
-    """As-of join: each left row with the value of the last right row of its key at or before it.
+    """As-of join: each left row with the value of the last right row of its key at or before it that has one.
 
-    Both sides go into one window by key, so neither is broadcast and no pairs are made; right rows come first where
-    times are equal.
+    Both sides go into windows over pieces of a key, so neither is broadcast, no pairs are made and a hot key is shared
+    out; each piece takes over the last value of those before. Right rows come first where times are equal.
     """
     a = left.withColumn("__side", F.lit(1)).withColumn("__value", F.lit(None).cast(right.schema[value].dataType))
     b = right.select(key, at, F.col(value).alias("__value"), F.lit(0).alias("__side"))
-    w = Window.partitionBy(key).orderBy(at, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b, allowMissingColumns=True)
-    return both.withColumn(f"before_{value}", F.last("__value", ignorenulls=True).over(w)).filter("__side = 1").drop("__side", "__value")
+    both = pieced(a.unionByName(b, allowMissingColumns=True), [key], [at, "__side"])
+    w = Window.partitionBy(*WITHIN).orderBy(at, "__side").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("__key").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    ends = both.groupBy(*WITHIN).agg(F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(at, "__side"))).alias("__end"))
+    ends = ends.select(*WITHIN, F.last("__end", ignorenulls=True).over(before).alias("__carried"))
+    own = both.withColumn("__own", F.last("__value", ignorenulls=True).over(w)).filter("__side = 1").join(ends, WITHIN)
+    return own.select(*left.columns, F.coalesce("__own", "__carried").alias(f"before_{value}"))
 
 
 def anti(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:

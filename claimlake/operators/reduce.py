@@ -1,7 +1,8 @@
 """Reductions of observations to facts: windows, roll-ups, verdict rules. Null keys are a key of their own.
 
-flips, runs, admitted, spread_top and state_before sort each key's rows in one task: a key (a run, a book, a pool) is
-bounded by what one writer produces. Everything else aggregates partially before it shuffles.
+flips, runs and admitted cut the rows by ranges of key and order, so that a hot key lies in many pieces, and carry over
+what the pieces before leave. spread_top keeps k rows of a group in each task before it shuffles. state_before sorts a
+key's rows in one task: a book's, bounded by what one writer produces. Everything else aggregates partially.
 """
 
 from __future__ import annotations
@@ -28,23 +29,59 @@ def frozen(df: DataFrame, keys: list[str], seq: str, settled: Column, value: str
     return before.groupBy(*keys).agg(F.first("__at").alias("settled_at"), F.max_by(value, F.when(counts, F.col(seq))).alias("last_value"), F.count(F.lit(1)).alias("n_before"))
 
 
-def flips(df: DataFrame, keys: list[str], seq: str, verdict: str) -> DataFrame:
-    """How often the verdict changes in order."""
-    last = F.lag(verdict).over(Window.partitionBy(*keys).orderBy(seq))
-    return df.withColumn("__last", last).groupBy(*keys).agg(F.count_if(F.col("__last") != F.col(verdict)).alias("n_flips"), F.count(F.lit(1)).alias("n_rows"))
+#: Pieces that the rows of a table are cut into by their order, and the rows that the cuts are told from.
+PIECES, CUT_ROWS = 64, 4096
 
 
-def runs(df: DataFrame, keys: list[str], seq: str, state: str) -> DataFrame:
-    """Gaps and islands: one row for each stretch of equal states."""
-    w = Window.partitionBy(*keys).orderBy(seq)
-    marked = df.withColumn("__new", F.coalesce((F.lag(state).over(w) != F.col(state)).cast("int"), F.lit(1))).withColumn("island", F.sum("__new").over(w))
-    return marked.groupBy(*keys, "island").agg(F.first(state).alias(state), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"), F.count(F.lit(1)).alias("n_rows"))
+def pieced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """df with __key (keys as one value, in which nulls are equal) and __piece, which grows with the order.
+
+    The cuts are quantiles of the order among the CUT_ROWS rows with the smallest hashes of it, the same each time they
+    are told. A key with a third of all rows lies in about a third of the pieces, wherever in the order it stands; rows
+    of equal order share a piece. Cuts only share out the work: results do not depend on them.
+    """
+    at = F.struct(*order)
+    few = df.select(*order).orderBy(F.xxhash64(*order), *order).limit(CUT_ROWS).agg(F.array_sort(F.collect_list(at)).alias("x"))
+    places = F.sequence(F.lit(1), F.lit(PIECES - 1))
+    cuts = few.select(F.filter(F.transform(places, lambda i: F.get("x", F.floor(i * F.size("x") / PIECES).cast("int"))), lambda c: c.isNotNull()).alias("cuts"))
+    marked = df.withColumn("__key", F.struct(*keys)).withColumn("__cuts", cuts.scalar())
+    return marked.withColumn("__piece", F.size(F.filter("__cuts", lambda c: c <= at))).drop("__cuts")
+
 
+WITHIN = ["__key", "__piece"]
 
-def admitted(df: DataFrame, pool: str, order: list[Column], demand: str, budget: int) -> DataFrame:
-    """Budget admission: rows in order while their running demand is within the pool's budget."""
-    w = Window.partitionBy(pool).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("running", F.sum(demand).over(w)).withColumn("granted", F.col("running") <= budget)
+
+def flips(df: DataFrame, keys: list[str], seq: str, verdict: str) -> DataFrame:
+    """How often the verdict changes in order; a null verdict is no change, neither to it nor from it."""
+    rows = pieced(df.select(*keys, seq, verdict), keys, [seq]).withColumn("__last", F.lag(verdict).over(Window.partitionBy(*WITHIN).orderBy(seq)))
+    ends = rows.groupBy(*WITHIN).agg(F.count_if(F.col("__last") != F.col(verdict)).alias("__n"), F.count(F.lit(1)).alias("__rows"), F.min_by(verdict, seq).alias("__first"), F.max_by(verdict, seq).alias("__end"))
+    across = F.lag("__end").over(Window.partitionBy("__key").orderBy("__piece")) != F.col("__first")
+    total = ends.withColumn("__n", F.col("__n") + F.coalesce(across.cast("int"), F.lit(0))).groupBy("__key").agg(F.sum("__n").alias("n_flips"), F.sum("__rows").alias("n_rows"))
+    return total.select("__key.*", "n_flips", "n_rows")
+
+
+def runs(df: DataFrame, keys: list[str], seq: str, state: str) -> DataFrame:
+    """Gaps and islands: one row for each stretch of equal states; every null is a stretch of its own."""
+    w = Window.partitionBy(*WITHIN).orderBy(seq)
+    new = F.when(F.row_number().over(w) > 1, F.coalesce((F.lag(state).over(w) != F.col(state)).cast("long"), F.lit(1))).otherwise(0)
+    rows = pieced(df.select(*keys, seq, state), keys, [seq]).withColumn("__new", new)
+    ends = rows.groupBy(*WITHIN).agg(F.sum("__new").alias("__n"), F.min_by(state, seq).alias("__first"), F.max_by(state, seq).alias("__end"))
+    by = Window.partitionBy("__key").orderBy("__piece")
+    ends = ends.withColumn("__start", F.coalesce((F.lag("__end").over(by) != F.col("__first")).cast("long"), F.lit(1)))
+    ends = ends.select(*WITHIN, (F.sum(F.col("__start") + F.col("__n")).over(by) - F.col("__n")).alias("__base"))
+    numbered = rows.withColumn("__upto", F.sum("__new").over(w)).join(ends, WITHIN).withColumn("island", F.col("__base") + F.col("__upto"))
+    return numbered.groupBy("__key", "island").agg(F.first(state).alias(state), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"), F.count(F.lit(1)).alias("n_rows")).select("__key.*", "island", state, "first_seq", "last_seq", "n_rows")
+
+
+def admitted(df: DataFrame, pool: str, order: list[str], demand: str, budget: int) -> DataFrame:
+    """Budget admission: rows in order while their running demand is within the pool's budget. Null demands count as 0."""
+    rows = pieced(df, [pool], order)
+    w = Window.partitionBy(*WITHIN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("__key").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    need = F.coalesce(F.col(demand), F.lit(0))
+    base = rows.groupBy(*WITHIN).agg(F.sum(need).alias("__n")).select(*WITHIN, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    running = rows.withColumn("running", F.sum(need).over(w)).join(base, WITHIN).withColumn("running", F.col("running") + F.col("__base"))
+    return running.select(*df.columns, "running", (F.col("running") <= budget).alias("granted"))
 
 
 def spread_top(df: DataFrame, keys: list[str], group: str, order: list[Column], k: int) -> DataFrame:

@@ -70,7 +70,7 @@ def stage_runs(t):
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey ROWS UNBOUNDED PRECEDING)""")
 def budget_admission(t):
     o = t("orders").withColumn("cents", cents("o_totalprice"))
-    return reduce.admitted(o, "o_custkey", [F.col("o_orderpriority"), F.col("o_orderkey")], "cents", 100_000_000).select("o_orderkey", "o_orderpriority", "running", "granted")
+    return reduce.admitted(o, "o_custkey", ["o_orderpriority", "o_orderkey"], "cents", 100_000_000).select("o_orderkey", "o_orderpriority", "running", "granted")
 
 
 @query("""WITH g AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC, event_id) AS g FROM events),
@@ -113,11 +113,11 @@ def orphan_cleanup(t):
     return joins.without_orphans(t("customer").select("c_custkey", "c_name"), "c_custkey", [t("orders").select(F.col("o_custkey").alias("c_custkey"))])
 
 
-@query("""WITH a AS (SELECT DISTINCT user_id AS k FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-03'), b AS (SELECT DISTINCT user_id AS k FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-28')
-SELECT coalesce(a.k, b.k) AS user_id, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'shared' END AS state FROM a FULL JOIN b ON a.k = b.k""")
+@query("""WITH a AS (SELECT DISTINCT user_id * 24 + hour(ts) AS k FROM events WHERE ts < TIMESTAMP '2024-01-16'), b AS (SELECT DISTINCT user_id * 24 + hour(ts) AS k FROM events WHERE ts >= TIMESTAMP '2024-01-16')
+SELECT coalesce(a.k, b.k) AS user_hour, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'removed' ELSE 'shared' END AS state FROM a FULL JOIN b ON a.k = b.k""")
 def run_comparison(t):
-    e = t("events").filter("event_type = 'error'")
-    return joins.compared(e.filter("ts < timestamp_ntz'2024-01-03'"), e.filter("ts >= timestamp_ntz'2024-01-28'"), "user_id")
+    e = t("events").withColumn("user_hour", F.col("user_id") * 24 + F.hour("ts"))
+    return joins.compared(e.filter("ts < timestamp_ntz'2024-01-16'"), e.filter("ts >= timestamp_ntz'2024-01-16'"), "user_hour")
 
 
 @query("""SELECT md5(text) AS text_hash, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1""")

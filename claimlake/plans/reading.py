@@ -162,5 +162,4 @@ SELECT user_id, min(ts) AS begun, max(ts) AS last_event, count(*) AS n, max(ts)
 def run_liveness(t):
     e = t("events")
     s = windows.sessions(e, "ts", ["user_id"], "30 minutes")
-    now = e.agg((F.max("ts") - F.expr("INTERVAL 30 MINUTES")).alias("now"))  # one row
-    return s.crossJoin(F.broadcast(now)).withColumn("silent", F.col("last_event") < F.col("now")).drop("now")
+    return s.withColumn("silent", F.col("last_event") < e.agg((F.max("ts") - F.expr("INTERVAL 30 MINUTES")).alias("now")).scalar())
