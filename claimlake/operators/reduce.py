@@ -45,7 +45,8 @@ def pieced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     places = F.sequence(F.lit(1), F.lit(PIECES - 1))
     cuts = few.select(F.filter(F.transform(places, lambda i: F.get("x", F.floor(i * F.size("x") / PIECES).cast("int"))), lambda c: c.isNotNull()).alias("cuts"))
     marked = df.withColumn("__key", F.struct(*keys)).withColumn("__cuts", cuts.scalar())
-    return marked.withColumn("__piece", F.size(F.filter("__cuts", lambda c: c <= at))).drop("__cuts")
+    # no lambda: the optimizer misses the columns inside one when it infers filters for a join of the rows with their ends
+    return marked.withColumn("__piece", F.array_position(F.sort_array(F.array_append("__cuts", at)), at)).drop("__cuts")
 
 
 WITHIN = ["__key", "__piece"]
