@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, near_dedup, packing, perplexity, pii, quality_rules, shards, token_counts, topk, toxicity
+from . import bpe, divergence, near_dedup, packing, perplexity, pii, quality_rules, shards, token_counts, topk, toxicity, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_perplexity": op2_perplexity,
@@ -65,8 +73,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_near_dedup": op9_near_dedup,
     "op10_shards": op10_shards,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_divergence": op13_divergence,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op12_vector_codes": vector_codes.ORACLE_SQL,
+    "op13_divergence": divergence.ORACLE_SQL,
     "op8_topk": """
 WITH v AS (
   SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
