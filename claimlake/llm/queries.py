@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, divergence, near_dedup, packing, perplexity, pii, quality_rules, shards, token_counts, topk, toxicity, vector_codes
+from . import bpe, divergence, lm_scoring, near_dedup, packing, perplexity, pii, quality_rules, shards, token_counts, topk, toxicity, vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_near_dedup": op9_near_dedup,
     "op10_shards": op10_shards,
+    "op11_lm_scoring": op11_lm_scoring,
     "op12_vector_codes": op12_vector_codes,
     "op13_divergence": op13_divergence,
 }
