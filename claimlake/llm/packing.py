@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from .shared import once, slices, stored
 from .tokenizers_io import WordBpe
 
-#: Where there are more sources, those without a target share so many queues by hash, which bounds the table of queue totals; a source with a target always has a queue of its own.
+#: Queues up to which every task gets the table of their totals; beyond, places come from a distributed sort. The places are the same.
 MOST_QUEUES = 1024
+#: Rounds whose table of queues is held at once, and grains of a queue that one task lists.
+ROUNDS, GRAINS = 1024, 1 << 16
 #: Rows of the table of queue offsets (one for each partition and queue) up to which it is broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -22,21 +24,17 @@ TOKENS = "doc_id long, queue string, part int, queued long, doc_tokens long, ids
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue string"
 
 
-def queue_of(source: Column, own: list[str] | None) -> Column:
-    """The queue of a source; own: the sources that have one each while the others share, None for all."""
-    each = F.coalesce(F.concat(F.lit("s:"), source.cast("string")), F.lit("null"))
-    if own is None:
-        return each
-    return F.when(source.cast("string").isin(own), each).otherwise(F.concat(F.lit("h:"), F.pmod(F.xxhash64(each), F.lit(MOST_QUEUES)).cast("string")))
+def queue_of(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s:"), source.cast("string")), F.lit("null"))
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int, own: list[str] | None = None) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """Each document's ids and end_id, with its place in its partition's share of its queue.
 
     A queue is the documents of one source, in partition order; queued is the number of the queue's ids before the
     document within the partition.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), queue_of(F.col("source"), own).alias("queue"), F.spark_partition_id().alias("part"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), queue_of(F.col("source")).alias("queue"), F.spark_partition_id().alias("part"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = once(("word-bpe", path), lambda: WordBpe(path))
@@ -56,6 +54,32 @@ def tokenised(docs: DataFrame, path: str, end_id: int, own: list[str] | None = N
     return rows.mapInArrow(encode, TOKENS)
 
 
+def rounds(quantum: np.ndarray, last: np.ndarray, grain_no: np.ndarray, grain: int) -> np.ndarray:
+    """The round in which a grain of a queue is served, from the queue's quantum and last round."""
+    r = np.ceil(grain * (grain_no + 1) / quantum).astype(np.int64) - 1
+    for _ in range(2):  # the division may be off by one
+        r -= (r > 0) & (np.floor(r * quantum / grain) >= grain_no + 1)
+        r += np.floor((r + 1) * quantum / grain) < grain_no + 1
+    return np.minimum(r, last)
+
+
+def sequence(all_: int, window: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sequence, offset in it, and its end in the stream. The rest after the last full one is cut into powers of two, so that nothing is padded."""
+    full, rest = divmod(all_, window)
+    parts = [1 << b for b in range(window.bit_length(), -1, -1) if rest >> b & 1]
+    begins = full * window + np.cumsum([0, *parts])
+    i = np.clip(np.searchsorted(begins, at, "right") - 1, 0, max(0, len(parts) - 1))
+    tail = at >= full * window
+    start = np.where(tail, begins[i], at // window * window)
+    size = np.where(tail, np.array(parts or [1])[i], window)
+    return np.where(tail, full + i, at // window), at - start, start + size
+
+def quanta(total, given, whole: float, window: int):
+    """What each round adds to a queue's credit, and the last round of the queue."""
+    quantum = window * given / max(whole, 1e-300)
+    return quantum, np.ceil(total / np.maximum(quantum, 1e-300)).astype(np.int64) - 1
+
+
 class Schedule:
     """Deficit round-robin in closed form.
 
@@ -71,9 +95,8 @@ class Schedule:
         given = np.array([float((weights or {}).get(q, 0.0)) for q in self.names]) if weights else self.total.astype(float)
         if weights:  # queues without a target share what one mean queue has
             given = np.where(given > 0, given, max(given.sum(), 1.0) / max(1, len(given)) / 100)
-        self.quantum = window * given / max(given.sum(), 1e-300)
+        self.quantum, self.last = quanta(self.total, given, given.sum(), window)
         self.window, self.grain = window, grain
-        self.last = np.ceil(self.total / np.maximum(self.quantum, 1e-300)).astype(np.int64) - 1
         self.all = int(self.total.sum())
 
     def served(self, r: np.ndarray) -> np.ndarray:
@@ -83,31 +106,26 @@ class Schedule:
 
     def rounds(self, queue: np.ndarray, x: np.ndarray) -> np.ndarray:
         """The round in which the id at place x of a queue is served."""
-        q, goal = self.quantum[queue], self.grain * (x // self.grain + 1)
-        r = np.ceil(goal / q).astype(np.int64) - 1
-        for _ in range(2):  # the division may be off by one
-            r -= (r > 0) & (np.floor(r * q / self.grain) >= goal // self.grain)
-            r += np.floor((r + 1) * q / self.grain) < goal // self.grain
-        return np.minimum(r, self.last[queue])
+        return rounds(self.quantum[queue], self.last[queue], x // self.grain, self.grain)
 
     def place(self, queue: np.ndarray, x: np.ndarray) -> np.ndarray:
         """The place in the packed stream of the id at place x of a queue."""
         r = self.rounds(queue, x)
         some, back = np.unique(r, return_inverse=True)
-        now, then = self.served(some), self.served(some + 1)
-        ahead = np.cumsum(then - now, axis=1) - (then - now)
-        return now.sum(axis=1)[back] + ahead[back, queue] + x - now[back, queue]
+        order = np.argsort(back, kind="stable")
+        cuts = np.searchsorted(back[order], np.arange(0, len(some) + ROUNDS, ROUNDS))
+        out = np.empty(len(x), np.int64)
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):  # a long text meets many rounds
+            own, first = order[a:b], i * ROUNDS
+            held = some[first : first + ROUNDS]
+            now, then = self.served(held), self.served(held + 1)
+            ahead = np.cumsum(then - now, axis=1) - (then - now)
+            at = back[own] - first
+            out[own] = now.sum(axis=1)[at] + ahead[at, queue[own]] + x[own] - now[at, queue[own]]
+        return out
 
     def sequence(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sequence, offset in it, and its end in the stream. The rest after the last full one is cut into powers of two, so that nothing is padded."""
-        full, rest = divmod(self.all, self.window)
-        parts = [1 << b for b in range(self.window.bit_length(), -1, -1) if rest >> b & 1]
-        begins = full * self.window + np.cumsum([0, *parts])
-        i = np.clip(np.searchsorted(begins, at, "right") - 1, 0, max(0, len(parts) - 1))
-        tail = at >= full * self.window
-        start = np.where(tail, begins[i], at // self.window * self.window)
-        size = np.where(tail, np.array(parts or [1])[i], self.window)
-        return np.where(tail, full + i, at // self.window), at - start, start + size
+        return sequence(self.all, self.window, at)
 
     def pieces(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """Pieces of documents that begin at place first of their queue and have n ids: document, start, length, sequence, offset."""
@@ -141,8 +159,9 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, grain:
     source; None: each source's share of all ids, so that all queues end together. A window holds each source's
     quantum up to a grain; deficits pass from window to window and, as every place follows from counts alone, from
     partition to partition. Where a queue ends early, the others fill the windows in proportion to their weights.
-    Sources without a target in weights get a hundredth of a mean target each; beyond MOST_QUEUES sources these share
-    queues by hash, the others keep theirs. Within a queue documents come in the order of the input's partitions, so
+    Sources without a target in weights get a hundredth of a mean target each. As whole grains are served, a source
+    may stand up to a grain behind its target at any point: a window's proportions hold to a grain for each source,
+    and with many sources only over so many windows as their grains fill. Within a queue documents come in the order of the input's partitions, so
     another split of the input gives another packing of the same proportions.
 
     Returns a row for each piece: doc_id, start and length in the document's ids, ids_crc32, doc_tokens, sequence_id,
@@ -150,21 +169,24 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, grain:
     packed like any other row. No rows: no pieces. Ids of one sequence are gapless from offset 0.
 
     Texts are encoded once and written with 16-bit ids; only counts by partition and queue are shuffled. The table of
-    offsets is broadcast up to BROADCAST_ROWS rows and joined by key beyond.
+    offsets is broadcast up to BROADCAST_ROWS rows and joined by key beyond. With more than MOST_QUEUES sources grains
+    are placed by packed_by_sort(), at the same places.
     """
     if window & (window - 1) or grain > window:
         raise ValueError("window must be a power of two and grain no larger")
-    keyed = F.coalesce(F.concat(F.lit("s:"), F.col("source").cast("string")), F.lit("null"))
-    names = docs.select(keyed.alias("q")).distinct().limit(MOST_QUEUES + 1).count()
-    tokens = stored(tokenised(docs, path, end_id, sorted(weights or {}) if names > MOST_QUEUES else None), "tokens")
+    tokens = stored(tokenised(docs, path, end_id), "tokens")
     counts = stored(tokens.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("n")), "queues")
-    totals = {r.queue: r.n for r in counts.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
-    plan = Schedule(totals, weights and {"s:" + k: v for k, v in weights.items()}, window, grain)
+    totals = counts.groupBy("queue").agg(F.sum("n").alias("n"))
+    few = totals.limit(MOST_QUEUES + 1).collect()
+    goals = weights and {"s:" + k: v for k, v in weights.items()}
     w = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("queue", "part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("base"))
     if counts.count() <= BROADCAST_ROWS:
         bases = F.broadcast(bases)
     placed = tokens.join(bases, ["queue", "part"]).select("doc_id", "queue", (F.col("base") + F.col("queued")).alias("first"), "doc_tokens", "ids")
+    if len(few) > MOST_QUEUES:
+        return packed_by_sort(placed, stored(totals, "queue-totals"), goals, window, grain)
+    plan = Schedule({r.queue: r.n for r in few}, goals, window, grain)
     number = {q: i for i, q in enumerate(plan.names)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,3 +201,87 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, grain:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(start), pa.array(size), pa.array(sums, pa.int64()), pa.array(n[doc]), pa.array(seq), pa.array(off), batch.column(1).take(take)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"])
 
     return placed.mapInArrow(cut, PIECES)
+
+
+def packed_by_sort(placed: DataFrame, totals: DataFrame, goals: dict[str, float] | None, window: int, grain: int) -> DataFrame:
+    """The pieces of any number of queues: their grains are sorted by round and queue, sums of the sizes before them give their places, and documents meet these grain by grain.
+
+    placed: doc_id, queue, first (place in the queue), doc_tokens, ids; totals: queue, n. A piece ends with its grain.
+    """
+    spark = placed.sparkSession
+    sums = totals.agg(F.sum("n"), F.count(F.lit(1))).first()
+    all_, queues = sums[0] or 0, sums[1]
+    given = F.col("n").cast("double")
+    whole = float(all_)
+    if goals:
+        named = spark.createDataFrame(list(goals.items()), "queue string, goal double")
+        totals = totals.join(F.broadcast(named), "queue", "left").withColumn("goal", F.coalesce("goal", F.lit(0.0)))
+        goal = totals.agg(F.sum("goal")).first()[0] or 0.0
+        given = F.when(F.col("goal") > 0, F.col("goal")).otherwise(max(goal, 1.0) / max(1, queues) / 100)
+        whole = totals.agg(F.sum(given)).first()[0] or 0.0
+    chunks = F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {grain * GRAINS}"))
+    listed = totals.withColumn("given", given).withColumn("chunk", F.explode(chunks)).select("queue", "n", "given", "chunk").repartition("queue", "chunk")
+
+    def grains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                queue, n, g, chunk = (c[i].as_py() for c in batch.columns)
+                quantum, last = quanta(np.array([n]), np.array([g]), whole, window)
+                no = np.arange(chunk * GRAINS, min((chunk + 1) * GRAINS, -(-n // grain)))
+                size = np.minimum(grain, n - no * grain)
+                yield pa.RecordBatch.from_arrays([pa.array([queue] * len(no), pa.string()), pa.array(no), pa.array(rounds(quantum, last, no, grain)), pa.array(size)], names=["queue", "g", "round", "size"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = listed.mapInArrow(grains, "queue string, g long, round long, size long").repartitionByRange(parts, "round", "queue", "g").sortWithinPartitions("round", "queue", "g").select(F.spark_partition_id().alias("part"), "queue", "g", "size")
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0
+        for batch in batches:
+            size = np.asarray(batch.column(3))
+            ends = at + np.cumsum(size)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ends - size), batch.column(3)], names=["part", "queue", "g", "within", "size"])
+            at = int(ends[-1]) if len(ends) else at
+
+    order = stored(rows.mapInArrow(summed, "part int, queue string, g long, within long, size long"), "grains")
+    before, offsets = 0, []
+    for part, n in sorted(map(tuple, order.groupBy("part").agg(F.sum("size")).collect())):  # a row for each partition
+        offsets.append((part, before))
+        before += n
+    bases = spark.createDataFrame(offsets, "part int, before long")
+    order = order.join(F.broadcast(bases), "part").select(F.col("queue").alias("q"), F.col("g").alias("no"), (F.col("before") + F.col("within")).alias("place"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_ in batches:
+            for batch in slices(whole_, "ids", 1 << 20):
+                first, n = (np.asarray(batch.column(i)).astype(np.int64) for i in (2, 3))
+                g0, g1 = first // grain, (first + n - 1) // grain
+                many = g1 - g0 + 1
+                doc = np.repeat(np.arange(len(n)), many)
+                no = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + g0[doc]
+                begin, end = np.maximum(no * grain, first[doc]), np.minimum((no + 1) * grain, (first + n)[doc])
+                raw = batch.column(4).to_pylist()
+                ids = [raw[d][2 * a : 2 * b] for d, a, b in zip(doc.tolist(), (begin - first[doc]).tolist(), (end - first[doc]).tolist(), strict=True)]
+                take = pa.array(doc)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(no), pa.array(begin - no * grain), pa.array(begin - first[doc]), batch.column(3).take(take), pa.array(ids, pa.binary())], names=["doc_id", "queue", "g", "inside", "start", "doc_tokens", "ids"])
+
+    held = placed.mapInArrow(cut, "doc_id long, queue string, g long, inside long, start long, doc_tokens long, ids binary")
+    met = held.join(order, (F.col("queue") == F.col("q")) & (F.col("g") == F.col("no"))).select("doc_id", "queue", "start", "doc_tokens", (F.col("place") + F.col("inside")).alias("at"), "ids")
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, total, at = (np.asarray(batch.column(i)).astype(np.int64) for i in (2, 3, 4))
+            row, skip, out = np.arange(len(at)), np.zeros(len(at), np.int64), []
+            size = np.asarray(pa.compute.binary_length(batch.column(5))).astype(np.int64) // 2
+            while len(row):  # cut at the ends of sequences
+                seq, off, stop = sequence(all_, window, at[row] + skip)
+                n = np.minimum(size[row] - skip, stop - at[row] - skip)
+                out.append((row, skip, n, seq, off))
+                more = skip + n < size[row]
+                row, skip = row[more], (skip + n)[more]
+            row, skip, n, seq, off = (np.concatenate(x) for x in zip(*out, strict=True))
+            raw = batch.column(5).to_pylist()
+            sums = [zlib.crc32(np.frombuffer(raw[r], "<u2")[a : a + k].astype("<u4").tobytes()) for r, a, k in zip(row.tolist(), skip.tolist(), n.tolist(), strict=True)]
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(start[row] + skip), pa.array(n), pa.array(sums, pa.int64()), pa.array(total[row]), pa.array(seq), pa.array(off), batch.column(1).take(take)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"])
+
+    return met.mapInArrow(pieces, PIECES)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,6 +34,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Integers at or beyond this, either way, are an error: sums of squares and products over a vector would leave 64 bits.
+WIDEST = 1 << 26
+
+
+def integer_vectors(vectors: DataFrame) -> DataFrame:
+    """The rows of vectors whose embedding is neither null nor empty and has only finite components, with v: integers floor(1024 * x) in its place. Components of WIDEST / 1024 or more, either way, are an error."""
+    rows = vectors.withColumn("embedding", F.col("embedding").cast("array<double>")).filter("size(embedding) > 0")
+    rows = rows.filter(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    wide = F.exists("embedding", lambda x: F.abs(x) >= WIDEST / 1024)
+    checked = F.when(wide, F.raise_error(F.lit(f"a component of {WIDEST // 1024} or more is out of range"))).otherwise(F.col("embedding"))
+    return rows.withColumn("v", F.transform(checked, lambda x: F.floor(x * 1024).cast("long"))).drop("embedding")
+
+
 def forget(*tables: DataFrame | None) -> None:
     """Deletes what stored() wrote for these tables; nothing that is still to run may read them."""
     for df in tables:
@@ -136,12 +150,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and text number of the words [^\\x20\\x09-\\x0D]+ of texts held as by buffers()."""
-    if not len(data):
+def runs_of(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text number of the longest stretches of bytes marked in solid, of texts held as by buffers()."""
+    if not len(solid):
         return (np.zeros(0, np.int64),) * 3
-    solid = ~SPACE[data]
-    cuts = offsets[(offsets > 0) & (offsets < len(data))]
+    cuts = offsets[(offsets > 0) & (offsets < len(solid))]
     start, end = solid.copy(), solid.copy()
     start[1:] &= ~solid[:-1]
     end[:-1] &= ~solid[1:]
@@ -151,6 +164,11 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text number of the words [^\\x20\\x09-\\x0D]+ of texts held as by buffers()."""
+    return runs_of(~SPACE[data], offsets)
+
+
 def per_text(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     """Sums of values by text number, n of them."""
     return np.bincount(text, weights=values, minlength=n).astype(np.int64) if len(text) else np.zeros(n, np.int64)

@@ -9,97 +9,198 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors in a block, queries in a block, cells of each dimension.
-ROWS, QUERIES, CELLS = 4096, 512, 16
-BLOCK = "dim int, n int, ids binary, vectors binary"
+from .shared import forget, integer_vectors, stored
+
+#: Vectors in a block, cells of each dimension (half a byte), queries that are worked on at once.
+ROWS, CELLS, CHUNK = 4096, 16, 512
+#: Vectors and queries of a task's part of the grid; one block in SAMPLE is searched first, for the bounds that the others start from.
+PART, BATCH, SAMPLE = 1 << 18, 1 << 16, 16
+BLOCK = "dim int, n int, ids binary, edges binary, cells binary, width int, vectors binary"
+QUERY = "query_id long, q_dim int, vector binary"
 RANKED = "query_id long, vec_id long, score long"
+_NONE = np.iinfo(np.int64).min
 
 
-def _blocks(vectors: DataFrame, most: int) -> DataFrame:
-    """Rows packed into blocks of one dimension each: ids and integer components as bytes."""
+def _narrow(whole: np.ndarray) -> np.ndarray:
+    """Integers in the fewest bytes of each that hold them all."""
+    for kind in (np.int16, np.int32):
+        if np.abs(whole).max(initial=0) <= np.iinfo(kind).max:
+            return whole.astype(kind)
+    return whole
+
+
+class ApproximationFile:
+    """A block's vectors as half a byte a component, and the exact integers, which are read only where the cells leave doubt.
+
+    A dimension's cells are equally wide, so what a cell adds to a score is linear in its number: one product of the
+    queries with the cells looks up the bounds of all pairs at once.
+    """
+
+    def __init__(self, ids: np.ndarray, edges: np.ndarray, packed: np.ndarray, exact: np.ndarray):
+        self.ids, self.packed, self.exact = ids, packed, exact
+        self.low, self.step = edges
+
+    @classmethod
+    def of(cls, ids: np.ndarray, whole: np.ndarray) -> ApproximationFile:
+        low, high = whole.min(axis=0), whole.max(axis=0)
+        step = np.maximum(1, -(-(high - low + 1) // CELLS))
+        cells = ((whole - low) // step).astype(np.uint8)
+        cells = np.pad(cells, ((0, 0), (0, cells.shape[1] % 2)))
+        return cls(ids, np.stack([low, step]), cells[:, ::2] | cells[:, 1::2] << 4, _narrow(whole))
+
+    def row(self) -> pa.RecordBatch:
+        values = (self.exact.shape[1], len(self.ids), self.ids.tobytes(), np.stack([self.low, self.step]).tobytes(), self.packed.tobytes(), self.exact.itemsize, self.exact.tobytes())
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=[c.split()[0] for c in BLOCK.split(", ")])
+
+    @classmethod
+    def read(cls, dim: int, n: int, ids: bytes, edges: bytes, cells: bytes, width: int, vectors: bytes) -> ApproximationFile:
+        return cls(np.frombuffer(ids, np.int64), np.frombuffer(edges, np.int64).reshape(2, dim), np.frombuffer(cells, np.uint8).reshape(n, -1), np.frombuffer(vectors, f"<i{width}").reshape(n, dim))
+
+    def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the most that each pair of a query and a vector can score, (queries, vectors)."""
+        dim = len(self.low)
+        cells = np.empty((len(self.ids), 2 * self.packed.shape[1]))
+        cells[:, ::2], cells[:, 1::2] = self.packed & 15, self.packed >> 4
+        q, low, step = queries.astype(np.float64), self.low.astype(np.float64), self.step.astype(np.float64)
+        middle = q @ low
+        # rounding of sums beyond 2**53
+        slack = np.abs(q) @ (np.abs(low) + CELLS * step) * dim * 2.0**-52
+        slack[slack < 0.25] = 0
+        sums = (q * step) @ cells[:, :dim].T
+        least = sums + (middle + np.minimum(q, 0) @ (step - 1) - slack)[:, None]
+        most = sums + (middle + np.maximum(q, 0) @ (step - 1) + slack)[:, None]
+        return least, most
+
+
+class Best:
+    """The k best of each query so far: scores falling, ties to smaller ids; none is kept that scores less than its floor."""
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int):
+        self.query_ids, self.queries, self.k = query_ids, queries, k
+        self.floors = floors.copy()
+        self.found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in query_ids]
+
+    def search(self, file: ApproximationFile) -> int:
+        """Takes in a block; how many exact vectors it read."""
+        least, most = file.bounds(self.queries)
+        read, k = 0, self.k
+        for i, own in enumerate(self.query_ids):
+            other = file.ids != own
+            if len(file.ids) > k:
+                lows = least[i][other]
+                if len(lows) >= k:
+                    self.floors[i] = max(self.floors[i], int(np.ceil(np.partition(lows, -k)[-k])))
+            near = np.flatnonzero(other & (most[i] >= self.floors[i]))
+            near = near[np.argsort(-most[i][near], kind="stable")]
+            at = 0
+            while at < len(near) and most[i][near[at]] >= self.floors[i]:
+                some = near[at : at + 64]
+                at += 64
+                scores = file.exact[some].astype(np.int64) @ self.queries[i]
+                keep = scores >= self.floors[i]
+                scores, ids = np.concatenate([self.found[i][0], scores[keep]]), np.concatenate([self.found[i][1], file.ids[some][keep]])
+                best = np.lexsort((ids, -scores))[:k]
+                self.found[i] = scores[best], ids[best]
+                if len(best) == k:
+                    self.floors[i] = max(self.floors[i], int(scores[best[-1]]))
+            read += min(at, len(near))
+        return read
+
+    def rows(self) -> pa.RecordBatch:
+        n = [len(s) for s, _ in self.found]
+        columns = [np.repeat(self.query_ids, n), np.concatenate([i for _, i in self.found]), np.concatenate([s for s, _ in self.found])]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["query_id", "vec_id", "score"])
+
+
+def files(rows: DataFrame) -> DataFrame:
+    """Rows (vec_id, v) as approximation files of up to ROWS vectors of one dimension each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = batch.column(1)
-            flat, at = np.asarray(v.flatten()).astype(np.float64), np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(v)))])
+            flat, at = np.asarray(v.flatten()), np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(v)))])
             ids, dims = np.asarray(batch.column(0)), np.diff(at)
             for d in np.unique(dims):
                 own = np.flatnonzero(dims == d)
-                for i in range(0, len(own), most):
-                    part = own[i : i + most]
-                    whole = np.floor(1024 * flat[at[part][:, None] + np.arange(d)]).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([len(part)], pa.int32()), pa.array([ids[part].tobytes()], pa.binary()), pa.array([whole.tobytes()], pa.binary())], names=["dim", "n", "ids", "vectors"])
+                for i in range(0, len(own), ROWS):
+                    part = own[i : i + ROWS]
+                    yield ApproximationFile.of(ids[part], flat[at[part][:, None] + np.arange(d)]).row()
 
-    return vectors.mapInArrow(run, BLOCK)
+    return rows.mapInArrow(run, BLOCK)
 
 
-class ApproximationFile:
-    """Cells of a block's vectors and the bounds that they give; exact vectors are read only where bounds leave doubt."""
+def _query_rows(rows: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column(1)
+            flat, at = np.asarray(v.flatten()), np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(v)))])
+            raw = [flat[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at), pa.int32()), pa.array(raw, pa.binary())], names=["query_id", "q_dim", "vector"])
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.exact = ids, vectors
-        low, high = vectors.min(axis=0), vectors.max(axis=0)
-        step = np.maximum(1, -(-(high - low + 1) // CELLS))
-        self.cells = ((vectors - low) // step).astype(np.uint8)
-        floor = low + self.cells.astype(np.int64) * step
-        self.floor, self.ceil = floor.astype(np.float64), np.minimum(floor + step - 1, high).astype(np.float64)
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[list, list, list]:
-        """Each query's k best of this block, ties to smaller ids."""
-        plus, minus = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
-        most = plus @ self.ceil.T + minus @ self.floor.T
-        least = plus @ self.floor.T + minus @ self.ceil.T
-        out: tuple[list, list, list] = ([], [], [])
-        for i, q in enumerate(query_ids):
-            other = self.ids != q
-            lows = least[i][other]
-            if not len(lows):
-                continue
-            sure = np.partition(lows, -k)[-k] if len(lows) > k else -np.inf
-            near = np.flatnonzero(other & (most[i] >= sure))
-            near = near[np.argsort(-most[i][near], kind="stable")]
-            scores, at, kth = np.zeros(0, np.int64), 0, -np.inf
-            while at < len(near) and most[i][near[at]] >= kth:
-                scores = np.concatenate([scores, self.exact[near[at : at + 64]] @ queries[i]])
-                at += 64
-                kth = np.partition(scores, -k)[-k] if len(scores) >= k else -np.inf
-            near = near[: len(scores)]
-            best = np.lexsort((self.ids[near], -scores))[:k]
-            out[0].append(np.full(len(best), q))
-            out[1].append(self.ids[near[best]])
-            out[2].append(scores[best])
-        return out
+    return rows.mapInArrow(run, QUERY)
 
 
-def top_k(vectors: DataFrame, every: int = 100, k: int = 10, parts: int | None = None) -> DataFrame:
+def searched(blocks: DataFrame, queries: DataFrame, parts: int, batches: int, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k best rows of each part of the blocks for each query (query_id, q_dim, vector, floor), those under its floor left out.
+
+    Parts of blocks and batches of queries make a grid; a task owns a cell of it, and its bounds pass from block to
+    block.
+    """
+    each = F.sequence(F.lit(0), F.lit(batches - 1))
+    left = blocks.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")).withColumn("batch", F.explode(each))
+    right = queries.withColumn("batch", F.pmod(F.xxhash64("query_id"), F.lit(batches)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def cell(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        out = [pa.RecordBatch.from_pylist([], pa.schema([(c, pa.int64()) for c in ("query_id", "vec_id", "score")]))]
+        names = [c.split()[0] for c in BLOCK.split(", ")]
+        held = [ApproximationFile.read(*(rows[c][i].as_py() for c in names)) for i in range(rows.num_rows)]
+        dims = np.asarray(asked["q_dim"].combine_chunks())
+        for d in np.unique(dims):
+            own = asked.take(pa.array(np.flatnonzero(dims == d)))
+            ids, floors = (np.asarray(own[c].combine_chunks()) for c in ("query_id", "floor"))
+            vectors = np.frombuffer(b"".join(own["vector"].to_pylist()), np.int64).reshape(-1, d)
+            for at in range(0, len(ids), CHUNK):
+                to = slice(at, at + CHUNK)
+                best = Best(ids[to], vectors[to], floors[to], k)
+                for file in held:
+                    if file.exact.shape[1] == d:
+                        best.search(file)
+                out.append(best.rows())
+        return pa.Table.from_batches(out)
+
+    return left.groupBy("part", "batch").cogroup(right.groupBy("part", "batch")).applyInArrow(cell, RANKED)
+
+
+def top_k(vectors: DataFrame, every: int = 100, k: int = 10, part: int = PART, batch: int = BATCH) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows of each row whose vec_id is divisible by every.
 
-    vectors: vec_id, embedding; other columns are ignored. Components count as floor(1024 * x). Rows with a null id,
-    a null vector, or null or non-finite components take no part; empty vectors neither. Only vectors of the query's
-    dimension are candidates. A repeated row is a candidate for each time it stands; its queries are one. Fewer than k
-    candidates: all. Blocks of queries meet blocks of vectors by number; every pair of blocks sends k rows for each
-    query to the final ranking.
+    vectors: vec_id, embedding; other columns are ignored. Components count as floor(1024 * x); one of 65,536 or more
+    either way is an error, so that no score can leave 64 bits. Rows with a null id, a null vector, or null or
+    non-finite components take no part; empty vectors neither. Only vectors of the query's dimension are candidates. A
+    repeated row is a candidate for each time it stands, but never for its own id; its queries are one. Fewer than k
+    candidates: all. Ties to the smaller vec_id.
+
+    Vectors are written once as approximation files. One file in SAMPLE is searched first: the kth score there is each
+    query's floor for all others, so that a query's final ranking reads about SAMPLE times k rows, however many files
+    there are.
     """
     spark = vectors.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("vec_id IS NOT NULL AND size(embedding) > 0")
-    whole = whole.filter(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    asked = whole.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    part = F.pmod(F.xxhash64("ids"), F.lit(parts))
-    rows = _blocks(whole, ROWS).select(part.alias("part"), "dim", F.col("ids").alias("r_ids"), F.col("vectors").alias("r_vectors"))
-    queries = _blocks(asked, QUERIES).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dim, r_ids, r_vectors, q_ids, q_vectors = (batch.column(j)[i].as_py() for j in range(5))
-                if last[0] != r_ids:
-                    last = (r_ids, ApproximationFile(np.frombuffer(r_ids, np.int64), np.frombuffer(r_vectors, np.int64).reshape(-1, dim)))
-                found = last[1].search(np.frombuffer(q_ids, np.int64), np.frombuffer(q_vectors, np.int64).reshape(-1, dim), k)
-                if found[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in found], names=["query_id", "vec_id", "score"])
-
-    met = rows.join(queries, ["part", "dim"]).select("dim", "r_ids", "r_vectors", "q_ids", "q_vectors")
+    whole = integer_vectors(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id IS NOT NULL"))
+    blocks = stored(files(whole.select("vec_id", "v")), "approximation-files")
+    queries = stored(_query_rows(whole.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))), "queries")
+    n, asked = blocks.agg(F.sum("n"), F.count(F.lit(1))).first(), queries.count()
+    if not n[0] or not asked:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    parts = max(min(n[1], int(spark.conf.get("spark.sql.shuffle.partitions"))), -(-n[0] // part))
+    batches = -(-asked // batch)
+    first = F.pmod(F.xxhash64("ids", F.lit(1)), F.lit(SAMPLE)) == 0
+    none = F.lit(_NONE).cast("long")
+    sample = stored(searched(blocks.filter(first), queries.withColumn("floor", none), parts, batches, k), "sample")
+    at = sample.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).filter(F.col("rank") == k)
+    floors = queries.join(at.select("query_id", F.col("score").alias("floor")), "query_id", "left").withColumn("floor", F.coalesce("floor", none))
+    both = sample.union(searched(blocks.filter(~first), floors, parts, batches, k))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return met.mapInArrow(run, RANKED).withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = stored(both.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "top-k")
+    forget(blocks, queries, sample)
+    return out

@@ -10,12 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import forget, stored
+from .shared import forget, integer_vectors, stored
 
 #: Vectors in a block (its dictionaries hold no more values a dimension), and vectors whose distances are held at once.
 ROWS, CHUNK = 4096, 512
-#: Integers at or beyond this, either way, are an error: squares summed over a vector would leave 64 bits.
-WIDEST = 1 << 26
 #: Labels up to which their sums are broadcast; joined by hash beyond.
 BROADCAST_ROWS = 1_000_000
 BLOCK = "n int, ids binary, sizes binary, entries binary, codes binary"
@@ -23,11 +21,7 @@ BLOCK = "n int, ids binary, sizes binary, entries binary, codes binary"
 
 def whole_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, label (as text), v: integers floor(1024 * x) of the rows that take part."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding")).filter("size(embedding) > 0")
-    rows = rows.filter(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    wide = F.exists("embedding", lambda x: F.abs(x) >= WIDEST / 1024)
-    checked = F.when(wide, F.raise_error(F.lit(f"a component of {WIDEST // 1024} or more is out of range"))).otherwise(F.col("embedding"))
-    return rows.select("vec_id", "label", F.transform(checked, lambda x: F.floor(x * 1024).cast("long")).alias("v"))
+    return integer_vectors(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), "embedding"))
 
 
 class Block:
