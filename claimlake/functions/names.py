@@ -21,6 +21,11 @@ TITLES = ("agent", "special", "detective", "sergeant", "major", "colonel", "gene
 FAMILY = ("spouse", "parent", "child", "sibling")
 
 
+def let(value: Column, body) -> Column:
+    """body(value), the value told once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _text(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
@@ -138,19 +143,25 @@ def _digit(s: Column, i: int) -> Column:
 
 def valid_isbn(c: Column | str) -> Column:
     """The signs of a valid ISBN-10 or ISBN-13 without marks, or null."""
-    s = F.upper(F.regexp_replace(F.regexp_replace(F.trim(_text(c)), "(?i)^urn:isbn:", ""), r"[\s-]", ""))
-    thirteen = sum(_digit(s, i) * (3 if i % 2 else 1) for i in range(13)) % 10 == 0
-    last = F.when(F.right(s, F.lit(1)) == "X", 10).otherwise(F.try_to_number(F.right(s, F.lit(1)), F.lit("9")).cast("int"))
-    ten = (sum(_digit(s, i) * (10 - i) for i in range(9)) + last) % 11 == 0
-    return F.when(s.rlike("^[0-9]{13}$"), F.when(thirteen, s)).when(s.rlike("^[0-9]{9}[0-9X]$"), F.when(ten, s))
+
+    def checked(s: Column) -> Column:
+        thirteen = sum(_digit(s, i) * (3 if i % 2 else 1) for i in range(13)) % 10 == 0
+        last = F.when(F.right(s, F.lit(1)) == "X", 10).otherwise(F.try_to_number(F.right(s, F.lit(1)), F.lit("9")).cast("int"))
+        ten = (sum(_digit(s, i) * (10 - i) for i in range(9)) + last) % 11 == 0
+        return F.when(s.rlike("^[0-9]{13}$"), F.when(thirteen, s)).when(s.rlike("^[0-9]{9}[0-9X]$"), F.when(ten, s))
+
+    return let(F.upper(F.regexp_replace(F.regexp_replace(F.trim(_text(c)), "(?i)^urn:isbn:", ""), r"[\s-]", "")), checked)
 
 
 def isbn13(c: Column | str) -> Column:
     """The 13-digit form of a valid ISBN of either length, or null."""
-    s = valid_isbn(c)
-    core = F.concat(F.lit("978"), F.left(s, F.lit(9)))
-    check = (10 - sum(_digit(core, i) * (3 if i % 2 else 1) for i in range(12)) % 10) % 10
-    return F.when(F.length(s) == 13, s).when(F.length(s) == 10, F.concat(core, check.cast("string")))
+
+    def longer(s: Column) -> Column:
+        core = F.concat(F.lit("978"), F.left(s, F.lit(9)))
+        check = (10 - sum(_digit(core, i) * (3 if i % 2 else 1) for i in range(12)) % 10) % 10
+        return F.when(F.length(s) == 13, s).when(F.length(s) == 10, F.concat(core, check.cast("string")))
+
+    return let(valid_isbn(c), longer)
 
 
 def series_of_file(c: Column | str) -> Column:

@@ -5,27 +5,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import names
 
-def staged(df: DataFrame, keys: list[str], work: str, run: str, independent: Column, evidenced: Column, after: int = 3) -> DataFrame:
-    """Where each claim of a work stands after its runs: promoted, expired or staged.
 
-    A claim is promoted once evidence or a second independent run has it, and stays so; otherwise it expires after so
-    many runs of its work without it. Runs are numbered upwards within a work; dependent ones neither count as
-    sightings nor as absences.
-    """
-    own = df.filter(F.coalesce(independent, F.lit(False)))
-    done = own.groupBy(F.col(work).alias("__work")).agg(F.max(run).alias("__done"))
-    seen = own.groupBy(*keys).agg(F.min(run).alias("first_run"), F.max(run).alias("last_run"), F.count_distinct(F.col(run)).alias("sightings"), F.max(F.coalesce(evidenced, F.lit(False))).alias("__firm"))
-    joined = seen.join(done, F.col(work).eqNullSafe(F.col("__work")))
-    state = F.when(F.col("__firm") | (F.col("sightings") >= 2), "promoted").when(F.col("__done") - F.col("last_run") >= after, "expired").otherwise("staged")
-    return joined.select(*keys, "first_run", "last_run", "sightings", state.alias("state"))
+def staging_key(kind: Column, name: Column, catalog: Column) -> Column:
+    """The key under which a claim is staged: a trope's catalog id or else its tidy name, a trigger's warning; any other kind is an error."""
+    trope = F.when(F.coalesce(catalog, F.lit("")) != "", F.concat(F.lit("trope:id:"), catalog)).otherwise(F.concat(F.lit("trope:name:"), names.tidy_title(name)))
+    trigger = F.concat(F.lit("trigger:"), F.lower(F.trim(F.coalesce(name, F.lit("")))))
+    return F.when(kind == "trope", trope).when(kind == "trigger", trigger).otherwise(F.raise_error(F.concat(F.lit("claims of this kind are never staged: "), F.coalesce(kind, F.lit("?")))))
+
+
+def folded(df: DataFrame, work: str, name: str, catalog: str) -> DataFrame:
+    """df with the catalog id of rows that lack one, where the work's rows of the same tidy name have exactly one."""
+    tidy = names.tidy_title(F.col(name))
+    known = df.filter(F.coalesce(F.col(catalog), F.lit("")) != "").groupBy(F.col(work).alias("__work"), tidy.alias("__name")).agg(F.min(catalog).alias("__low"), F.max(catalog).alias("__high")).filter("__low = __high")
+    out = df.join(known, F.col(work).eqNullSafe(F.col("__work")) & (tidy == F.col("__name")), "left")
+    return out.withColumn(catalog, F.coalesce(F.nullif(catalog, F.lit("")), "__low")).select(df.columns)
 
 
-def staging_account(claims: DataFrame, keys: list[str]) -> DataFrame:
-    """Claims ever staged against those in a known state; unaccounted must be 0."""
+def staged(df: DataFrame, keys: list[str], work: str, run: str, independent: Column, firm: Column, after: int = 3, runs: DataFrame | None = None) -> DataFrame:
+    """Every time that a claim was staged, and what came of it: promoted, expired or staged.
+
+    A sighting is a claim's row in an independent run; dependent runs are neither sightings nor absences. firm: what
+    makes a sighting stand by itself (support, evidence), null if nothing does. A firm sighting ships without being
+    staged. A weak one stages the claim, and the next sighting promotes it (via its firm, or persistence), unless so
+    many independent runs of the work passed without the claim: then it has expired, and a later weak sighting stages
+    it anew. A promoted claim stays so for good. runs: the work's runs (work, run, all independent), where some may
+    have seen nothing; else the runs are those of df. sightings and last_run: from the staging one on, all that follow
+    a promotion. Rows are counted by run first, so no window holds more than a work's runs.
+    """
+    own = df.filter(F.coalesce(independent, F.lit(False)))
+    every = (own if runs is None else runs).select(F.col(work).alias("__work"), F.col(run).alias("__run")).distinct()
+    by_run = Window.partitionBy("__work").orderBy("__run")
+    every = every.withColumn("__at", F.row_number().over(by_run)).withColumn("__done", F.count(F.lit(1)).over(Window.partitionBy("__work")))
+    seen = own.groupBy(*keys, run).agg(F.max(firm).alias("__firm")).join(every, F.col(work).eqNullSafe(F.col("__work")) & (F.col(run) == F.col("__run")))
+    w = Window.partitionBy(*keys).orderBy("__at")
+    gap, then = F.lead("__at").over(w) - F.col("__at"), F.lead("__firm").over(w)
+    on = w.rowsBetween(0, Window.unboundedFollowing)
+    x = seen.withColumns({"__gap": gap, "__then": then, "__n": F.count(F.lit(1)).over(on), "__end": F.max(run).over(on)})
+    weak = F.col("__firm").isNull()
+    x = x.withColumn("__up", weak & F.coalesce(F.col("__gap") <= after, F.lit(False)))
+    x = x.withColumn("__first", F.min(F.when(F.col("__up"), F.col("__at"))).over(Window.partitionBy(*keys)))
+    x = x.filter(weak & (F.col("__first").isNull() | (F.col("__at") <= F.col("__first"))))
+    gone = F.coalesce(F.col("__gap") > after, F.col("__done") - F.col("__at") >= after)
+    up = F.col("__up")
+    return x.select(
+        *keys,
+        F.col(run).alias("first_run"),
+        F.when(up, F.col("__end")).otherwise(F.col(run)).alias("last_run"),
+        F.when(up, F.col("__n")).otherwise(1).alias("sightings"),
+        F.when(up, "promoted").when(gone, "expired").otherwise("staged").alias("state"),
+        F.when(up, F.coalesce("__then", F.lit("persistence"))).alias("via"),
+    )
+
+
+def staging_account(entries: DataFrame, recorded: DataFrame, keys: list[str], counter: str) -> DataFrame:
+    """The store's own counter of claims ever staged against the entries in each state; unaccounted is what the entries do not explain, and should be 0."""
     c = F.col("state")
-    out = claims.groupBy(*keys).agg(F.count(F.lit(1)).alias("staged_ever"), *(F.count_if(c == s).alias(s) for s in ("staged", "promoted", "expired")))
-    return out.withColumn("unaccounted", F.col("staged_ever") - F.col("staged") - F.col("promoted") - F.col("expired"))
+    states = entries.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(*(F.count_if(c == s).alias(s) for s in ("staged", "promoted", "expired")), F.lit(True).alias("__some"))
+    both = recorded.groupBy(*keys).agg(F.sum(counter).alias("staged_ever")).join(states, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "full")
+    n = {s: F.coalesce(F.col(s), F.lit(0)) for s in ("staged_ever", "staged", "promoted", "expired")}
+    return both.select(*(F.when(F.col("__some"), F.coalesce(k, f"__{k}")).otherwise(F.col(k)).alias(k) for k in keys), *(x.alias(s) for s, x in n.items()), (n["staged_ever"] - n["staged"] - n["promoted"] - n["expired"]).alias("unaccounted"))
 
 
 def breakers(df: DataFrame, keys: list[str], failed: Column, rate: float, least: int) -> DataFrame:

@@ -57,16 +57,22 @@ def replace_wholesale(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFr
     return anti(old, new, keys).unionByName(new)
 
 
-def replace_uncurated(old: DataFrame, new: DataFrame, keys: list[str], within: list[str], made: Column, curated: Column) -> DataFrame:
-    """A machine's rows are replaced within each group that new holds; curated rows and other sources' rows stay, and new rows never come in over a curated key.
+#: What a person's ruling leaves in a row's status.
+RULED = ("rejected", "confirmed")
 
-    made: rows of the machine; curated: rows that a person has ruled on. Nulls in either count as false.
-    """
-    deletable = F.coalesce(made, F.lit(False)) & ~F.coalesce(curated, F.lit(False))
+
+def replaceable(made: Column, status: Column, ruled: tuple[str, ...] = RULED) -> Column:
+    """Whether a new run may replace a row: made by the machine, with a status, and that no ruling. A null or empty status stays, as does what nothing is known of."""
+    return F.coalesce(made & (status != "") & ~status.isin(*ruled), F.lit(False))
+
+
+def replace_uncurated(old: DataFrame, new: DataFrame, keys: list[str], within: list[str], made: Column, status: Column, ruled: tuple[str, ...] = RULED) -> DataFrame:
+    """The replaceable() rows of each group that new holds go; all others stay, and new rows never come in under the key of one that stays."""
+    gone = replaceable(made, status, ruled)
     groups = new.select(*(F.col(k).alias(f"__{k}") for k in within)).distinct().withColumn("__hit", F.lit(True))
     marked = old.join(groups, reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in within)), "left")
-    kept = marked.filter(F.col("__hit").isNull() | ~deletable).select(old.columns)
-    return kept.unionByName(anti(new, old.filter(~deletable), keys))
+    kept = marked.filter(F.col("__hit").isNull() | ~gone).select(old.columns)
+    return kept.unionByName(anti(new, old.filter(~gone), keys))
 
 
 def renamed_identity(df: DataFrame, id_col: str, keys: list[str], old: Column, new: Column) -> DataFrame:

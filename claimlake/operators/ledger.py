@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
+from .joins import RULED, replaceable
 
 
 def _same(keys: list[str]) -> Column:
@@ -25,9 +26,9 @@ def rekeyed(df: DataFrame, group: str, key: str, moves: DataFrame) -> DataFrame:
     return moved.withColumn(key, F.coalesce("new", key)).select(df.columns)
 
 
-def write_plan(old: DataFrame, new: DataFrame, keys: list[str], within: list[str], made: Column, curated: Column) -> DataFrame:
-    """What replace_uncurated() would do to each group that new holds, without doing it: rows deleted, preserved, inserted, and not inserted because a curated key stands there."""
-    deletable = F.coalesce(made, F.lit(False)) & ~F.coalesce(curated, F.lit(False))
+def write_plan(old: DataFrame, new: DataFrame, keys: list[str], within: list[str], made: Column, status: Column, ruled: tuple[str, ...] = RULED) -> DataFrame:
+    """What replace_uncurated() would do to each group that new holds, without doing it: rows deleted, preserved, inserted, and not inserted because a row that stays holds their key."""
+    deletable = replaceable(made, status, ruled)
     groups = new.select(*(F.col(k).alias(f"__{k}") for k in within)).distinct()
     here = old.withColumn("__gone", deletable).join(groups, _same(within), "left_semi")
     before = here.groupBy(*within).agg(F.count_if("__gone").alias("deleted"), F.count_if(~F.col("__gone")).alias("preserved"), F.lit(0).cast("long").alias("inserted"), F.lit(0).cast("long").alias("held_back"))

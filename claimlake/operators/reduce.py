@@ -7,6 +7,8 @@ key's rows in one task: a book's, bounded by what one writer produces. Everythin
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,29 +24,34 @@ def frozen(df: DataFrame, keys: list[str], seq: str, settled: Column, value: str
     last_value: the value of the last row up to the settled one, null too; a settled row without a value keeps the one
     before it. n_before: rows up to the settled one. settled_at: null where nothing settled, and then all rows count.
     """
-    firm = F.coalesce(settled, F.lit(False))
-    at = F.min(F.when(firm, F.col(seq))).over(Window.partitionBy(*keys))
-    before = df.withColumn("__firm", firm).withColumn("__at", at).filter(F.col("__at").isNull() | (F.col(seq) <= F.col("__at")))
+    marked = df.withColumn("__firm", F.coalesce(settled, F.lit(False)))
+    ends = marked.filter("__firm").groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min(seq).alias("settled_at"))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    before = marked.join(ends, same, "left").filter(F.col("settled_at").isNull() | (F.col(seq) <= F.col("settled_at")))
     counts = ~F.col("__firm") | F.col(value).isNotNull()
-    return before.groupBy(*keys).agg(F.first("__at").alias("settled_at"), F.max_by(value, F.when(counts, F.col(seq))).alias("last_value"), F.count(F.lit(1)).alias("n_before"))
+    return before.groupBy(*keys).agg(F.first("settled_at").alias("settled_at"), F.max_by(value, F.when(counts, F.col(seq))).alias("last_value"), F.count(F.lit(1)).alias("n_before"))
 
 
-#: Pieces that the rows of a table are cut into by their order, and the rows that the cuts are told from.
-PIECES, CUT_ROWS = 64, 4096
+#: Rows that a key may have to be worked on in one piece; pieces that the rows of a table with larger keys are cut into by their order, and the rows that the cuts are told from.
+TOGETHER, PIECES, CUT_ROWS = 1_000_000, 64, 4096
 
 
-def pieced(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def pieced(df: DataFrame, keys: list[str], order: list[str], together: int | None = None) -> DataFrame:
     """df with __key (keys as one value, in which nulls are equal) and __piece, which grows with the order.
 
-    The cuts are quantiles of the order among the CUT_ROWS rows with the smallest hashes of it, the same each time they
-    are told. A key with a third of all rows lies in about a third of the pieces, wherever in the order it stands; rows
-    of equal order share a piece. Cuts only share out the work: results do not depend on them.
+    Keys of up to together rows are one piece each; telling whether there are larger ones is a count that aggregates
+    partially. The cuts are quantiles of the order among the CUT_ROWS rows with the smallest hashes of it, the same
+    each time they are told. A key with a third of all rows lies in about a third of the pieces, wherever in the order
+    it stands; rows of equal order share a piece. Cuts only share out the work: results do not depend on them.
     """
+    keyed = df.withColumn("__key", F.struct(*keys))
+    if keyed.groupBy("__key").count().filter(F.col("count") > (TOGETHER if together is None else together)).isEmpty():
+        return keyed.withColumn("__piece", F.lit(1))
     at = F.struct(*order)
     few = df.select(*order).orderBy(F.xxhash64(*order), *order).limit(CUT_ROWS).agg(F.array_sort(F.collect_list(at)).alias("x"))
     places = F.sequence(F.lit(1), F.lit(PIECES - 1))
     cuts = few.select(F.filter(F.transform(places, lambda i: F.get("x", F.floor(i * F.size("x") / PIECES).cast("int"))), lambda c: c.isNotNull()).alias("cuts"))
-    marked = df.withColumn("__key", F.struct(*keys)).withColumn("__cuts", cuts.scalar())
+    marked = keyed.withColumn("__cuts", cuts.scalar())
     # no lambda: the optimizer misses the columns inside one when it infers filters for a join of the rows with their ends
     return marked.withColumn("__piece", F.array_position(F.sort_array(F.array_append("__cuts", at)), at)).drop("__cuts")
 

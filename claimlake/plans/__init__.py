@@ -1,3 +1,3 @@
 """The queries over the given tables; importing the package registers all of them."""
 
-from . import claims, imports, ledgers, queries, reading, resolving, store  # noqa: F401
+from . import claims, imports, ledgers, live, queries, reading, resolving, store, texts  # noqa: F401

@@ -55,10 +55,12 @@ w AS (SELECT *, sum(length(piece) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1
 f AS (SELECT doc_id, min(i) FILTER (nxt >= a) AS first, min(i) FILTER (nxt >= a + n - 1) AS last FROM w GROUP BY 1)
 SELECT doc_id, CAST(first AS INT) AS first, CAST(last AS INT) AS last, md5(left(array_to_string(list_concat(pieces[greatest(first - 2, 0) + 1 : first], pieces[last + 2 : last + 3]), ' '), 1200)) AS window_hash FROM f JOIN q USING (doc_id)""")
 def evidence_windows(t):
-    # the quote: a document's fourth sentence, found again in the whole text
-    d = t("documents").filter("text IS NOT NULL").withColumn("quote", F.get(evidence.sentences("text"), F.lit(3))).filter("quote IS NOT NULL")
-    span = evidence.quote_span(F.col("quote"), F.col("text"))
-    return d.select("doc_id", span["first"].alias("first"), span["last"].alias("last"), F.md5(evidence.evidence_window(F.col("quote"), F.col("text"))).alias("window_hash"))
+    # the quote: a document's fourth sentence, found again in the whole text; the generator tells each text's sentences once
+    def found(pieces):
+        return names.let(evidence.located(F.get(pieces, F.lit(3)), pieces), lambda span: F.struct(span["first"].alias("first"), span["last"].alias("last"), F.md5(evidence.surroundings(span, pieces)).alias("window_hash")))
+
+    rows = F.filter(F.transform(F.array(evidence.sentences("text")), found), lambda r: r["first"].isNotNull())
+    return t("documents").filter("text IS NOT NULL").select("doc_id", F.inline(rows))
 
 
 #: Claims that events stand for: a score in hundredths, unanswered at times, and a type.
@@ -140,17 +142,18 @@ def replaced_wholesale(t):
     return joins.replace_wholesale(rows.withColumn("origin", F.lit("old")), new, ["l_orderkey"])
 
 
-_CURATED = "l_returnflag = 'A'"
+#: Lines as a store's rows: some rulings, some rows without a status.
+_STATUS = "CASE WHEN l_returnflag = 'A' THEN 'confirmed' WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 4 THEN '' WHEN l_linenumber = 5 THEN 'rejected' ELSE 'pending' END"
 
 
-@query(f"""WITH o AS (SELECT l_orderkey, l_linenumber, l_returnflag, NOT (l_linestatus = 'O' AND NOT {_CURATED}) AS stays FROM lineitem), g AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 3 = 0)
-SELECT l_orderkey, l_linenumber, l_returnflag, 'old' AS origin FROM o WHERE stays OR l_orderkey NOT IN (SELECT l_orderkey FROM g)
-UNION ALL SELECT l_orderkey, l_linenumber, 'N', 'new' FROM lineitem WHERE l_orderkey % 3 = 0 AND (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM o WHERE stays)""")
+@query(f"""WITH l AS (SELECT *, {_STATUS} AS status FROM lineitem), o AS (SELECT l_orderkey, l_linenumber, status, NOT coalesce(l_linestatus = 'O' AND status <> '' AND status NOT IN ('confirmed', 'rejected'), FALSE) AS stays FROM l), g AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 3 = 0)
+SELECT l_orderkey, l_linenumber, status, 'old' AS origin FROM o WHERE stays OR l_orderkey NOT IN (SELECT l_orderkey FROM g)
+UNION ALL SELECT l_orderkey, l_linenumber, 'pending', 'new' FROM lineitem WHERE l_orderkey % 3 = 0 AND (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM o WHERE stays)""")
 def replaced_uncurated(t):
-    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    new = rows.filter("l_orderkey % 3 = 0").withColumn("l_returnflag", F.lit("N")).withColumn("origin", F.lit("new"))
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", F.expr(_STATUS).alias("status"), "l_linestatus")
+    new = rows.filter("l_orderkey % 3 = 0").withColumn("status", F.lit("pending")).withColumn("origin", F.lit("new"))
     old = rows.withColumn("origin", F.lit("old"))
-    return joins.replace_uncurated(old, new, ["l_orderkey", "l_linenumber"], ["l_orderkey"], F.col("l_linestatus") == "O", F.expr(_CURATED)).drop("l_linestatus")
+    return joins.replace_uncurated(old, new, ["l_orderkey", "l_linenumber"], ["l_orderkey"], F.col("l_linestatus") == "O", F.col("status")).drop("l_linestatus")
 
 
 @query("""WITH m AS (SELECT CASE WHEN user_id % 10 = 3 THEN user_id + 1 ELSE user_id END AS user_id, user_id % 10 = 3 AS moved, event_type, min(event_id) AS decided FROM events GROUP BY ALL)

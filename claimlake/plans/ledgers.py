@@ -16,14 +16,15 @@ def rekeyed_lines(t):
     return ledger.rekeyed(lines, "l_orderkey", "l_linenumber", moves)
 
 
-@query("""WITH o AS (SELECT o_custkey, o_orderkey % 97 AS k, coalesce(o_orderpriority <> '2-HIGH', FALSE) AND NOT coalesce(o_orderstatus = 'F', FALSE) AS del FROM orders), n AS (SELECT l_suppkey AS o_custkey, l_orderkey % 97 AS k FROM lineitem WHERE l_returnflag = 'A'),
+@query("""WITH o AS (SELECT o_custkey, o_orderkey % 97 AS k, coalesce(o_orderpriority <> '2-HIGH' AND CASE o_orderstatus WHEN 'F' THEN 'confirmed' WHEN 'P' THEN NULL ELSE CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'pending' END END NOT IN ('', 'confirmed'), FALSE) AS del FROM orders), n AS (SELECT l_suppkey AS o_custkey, l_orderkey % 97 AS k FROM lineitem WHERE l_returnflag = 'A'),
 b AS (SELECT o_custkey, count(*) FILTER (del) AS deleted, count(*) FILTER (NOT del) AS preserved FROM o WHERE o_custkey IN (SELECT o_custkey FROM n) GROUP BY 1), h AS (SELECT DISTINCT o_custkey, k FROM o WHERE NOT del),
 a AS (SELECT n.o_custkey, count(*) FILTER (h.k IS NULL) AS inserted, count(h.k) AS held_back FROM n LEFT JOIN h ON n.o_custkey = h.o_custkey AND n.k = h.k GROUP BY 1)
 SELECT o_custkey, coalesce(deleted, 0) AS deleted, coalesce(preserved, 0) AS preserved, inserted, held_back FROM a LEFT JOIN b USING (o_custkey)""")
 def write_plans(t):
-    old = t("orders").select("o_custkey", (F.col("o_orderkey") % 97).alias("k"), "o_orderpriority", "o_orderstatus")
+    status = F.when(F.col("o_orderstatus") == "F", "confirmed").when(F.col("o_orderstatus") == "O", F.when(F.col("o_orderkey") % 3 == 0, "").otherwise("pending"))
+    old = t("orders").select("o_custkey", (F.col("o_orderkey") % 97).alias("k"), "o_orderpriority", status.alias("status"))
     new = t("lineitem").filter("l_returnflag = 'A'").select(F.col("l_suppkey").alias("o_custkey"), (F.col("l_orderkey") % 97).alias("k"))
-    return ledger.write_plan(old, new, ["o_custkey", "k"], ["o_custkey"], F.col("o_orderpriority") != "2-HIGH", F.col("o_orderstatus") == "F")
+    return ledger.write_plan(old, new, ["o_custkey", "k"], ["o_custkey"], F.col("o_orderpriority") != "2-HIGH", F.col("status"))
 
 
 @query("""WITH c AS (SELECT user_id, event_id, 'n' || (event_id % 7) AS a, 'n' || (event_id * 3 % 5) AS b, event_type = 'purchase' AS family, CAST(floor(value) AS BIGINT) AS evidence FROM events)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from claimlake.operators import chapters, clusters, gates
@@ -45,11 +46,58 @@ def test_gated_and_crossings(spark):
     assert got(chapters.crossings(levels, ["book"], "level")) == [("b", 2), ("b", 3)]
 
 
-def test_staging(spark):
-    df = spark.createDataFrame([("w", "two", 1, True, None), ("w", "two", 2, True, None), ("w", "proof", 1, True, True), ("w", "old", 2, True, False), ("w", "new", 5, True, False), ("w", "copied", 1, False, True)], "work string, claim string, run int, own boolean, firm boolean")
-    out = gates.staged(df, ["work", "claim"], "work", "run", F.col("own"), F.col("firm"))
-    assert {r.claim: r.state for r in out.collect()} == {"two": "promoted", "proof": "promoted", "old": "expired", "new": "staged"}
-    assert got(gates.staging_account(out, ["work"])) == [("w", 4, 1, 2, 1, 0)]
+def observed(spark, *runs):
+    """runs: (number, independent, {claim: firm}); what became of each claim."""
+    rows = [("w", c, n, own, firm) for n, own, seen in runs for c, firm in seen.items()]
+    df = spark.createDataFrame(rows, "work string, claim string, run int, own boolean, firm string")
+    every = spark.createDataFrame([("w", n) for n, own, _ in runs if own], "work string, run int")
+    out = gates.staged(df, ["work", "claim"], "work", "run", F.col("own"), F.col("firm"), runs=every)
+    return sorted((r.claim, r.state, r.first_run, r.last_run, r.sightings, r.via) for r in out.collect())
+
+
+def test_staging_promotes_by_a_second_sighting(spark):
+    weak = {"c": None}
+    assert observed(spark, (1, True, weak)) == [("c", "staged", 1, 1, 1, None)]
+    assert observed(spark, (1, True, weak), (2, True, weak)) == [("c", "promoted", 1, 2, 2, "persistence")]
+    assert observed(spark, (1, True, weak), (2, True, {"c": "support"}), (3, True, weak)) == [("c", "promoted", 1, 3, 3, "support")]
+    assert observed(spark, (1, True, weak), (2, True, {"c": "evidence"})) == [("c", "promoted", 1, 2, 2, "evidence")]
+    assert observed(spark, (1, True, {"c": "evidence"})) == []  # ships without being staged
+    assert observed(spark, (1, True, {"c": "support"}), (2, True, weak)) == [("c", "staged", 2, 2, 1, None)]
+    assert observed(spark, (1, True, weak), (2, True, weak), *((n, True, {}) for n in range(3, 9))) == [("c", "promoted", 1, 2, 2, "persistence")]
+
+
+def test_dependent_runs_are_neither_sightings_nor_absences(spark):
+    weak, copy = {"c": None}, (2, False, {"c": None})
+    assert observed(spark, (1, True, weak), copy) == [("c", "staged", 1, 1, 1, None)]
+    assert observed(spark, (1, True, weak), copy, (3, True, weak)) == [("c", "promoted", 1, 3, 2, "persistence")]
+    assert observed(spark, copy) == []
+    assert observed(spark, (1, True, weak), (2, False, {}), (3, False, {"d": None}), (4, True, {})) == [("c", "staged", 1, 1, 1, None)]
+
+
+def test_staging_expires_at_three_absences_for_good(spark):
+    weak = {"c": None}
+    two = [(1, True, weak), (2, True, {}), (3, True, {})]
+    assert observed(spark, *two) == [("c", "staged", 1, 1, 1, None)]
+    assert observed(spark, *two, (4, True, weak)) == [("c", "promoted", 1, 4, 2, "persistence")]
+    assert observed(spark, *two, (4, True, {})) == [("c", "expired", 1, 1, 1, None)]
+    assert observed(spark, *two, (4, True, {}), (9, True, weak)) == [("c", "expired", 1, 1, 1, None), ("c", "staged", 9, 9, 1, None)]
+    assert observed(spark, *two, (4, True, {}), (9, True, {"c": "evidence"})) == [("c", "expired", 1, 1, 1, None)]
+
+
+def test_staging_keys_fold_names_into_ids(spark):
+    df = spark.createDataFrame([("w", "trope", "Enemies_to Lovers", None, 1), ("w", "trope", "enemies to  lovers", "t-9", 2), ("w", "trope", "Twice", "a", 1), ("w", "trope", "twice", "b", 1), ("w", "trope", "TWICE", "", 1), ("w", "trigger", "  Non_Consent ", None, 1), ("v", "trope", "Enemies to Lovers", None, 1)], "work string, kind string, name string, id string, run int")
+    keyed = gates.folded(df, "work", "name", "id").withColumn("key", gates.staging_key(F.col("kind"), F.col("name"), F.col("id")))
+    assert sorted(r.key for r in keyed.collect()) == ["trigger:non_consent", "trope:id:a", "trope:id:b", "trope:id:t-9", "trope:id:t-9", "trope:name:enemies to lovers", "trope:name:twice"]
+    out = gates.staged(keyed, ["work", "key"], "work", "run", F.lit(True), F.lit(None).cast("string"))
+    assert {(r.key, r.state, r.sightings) for r in out.filter("work = 'w' AND key = 'trope:id:t-9'").collect()} == {("trope:id:t-9", "promoted", 2)}
+    with pytest.raises(Exception, match="never staged"):
+        df.select(gates.staging_key(F.lit("relationship"), F.col("name"), F.col("id"))).collect()
+
+
+def test_staging_account_shows_what_entries_do_not_explain(spark):
+    entries = spark.createDataFrame([("w", "promoted"), ("w", "staged"), ("w", "expired"), (None, "staged"), ("x", "staged")], "work string, state string")
+    recorded = spark.createDataFrame([("w", 2), ("w", 2), (None, 1), ("gone", 5)], "work string, n long")
+    assert got(gates.staging_account(entries, recorded, ["work"], "n")) == sorted([("w", 4, 1, 1, 1, 1), (None, 1, 1, 0, 0, 0), ("x", 0, 1, 0, 0, -1), ("gone", 5, 0, 0, 0, 5)], key=str)
 
 
 def test_breakers_need_a_sample(spark):

@@ -24,10 +24,11 @@ def test_upsert_and_insert_with_repeated_and_null_keys(spark):
 
 
 def test_curated_rows_stay(spark):
-    old = spark.createDataFrame([(1, "a", "ai", None), (1, "b", "ai", "rejected"), (1, "c", "human", None), (2, "d", "ai", None), (1, "e", None, None)], "w int, k string, made string, status string")
-    new = spark.createDataFrame([(1, "a", "ai", "new"), (1, "b", "ai", "new"), (1, "f", "ai", "new")], old.schema)
-    got = joins.replace_uncurated(old, new, ["w", "k"], ["w"], F.col("made") == "ai", F.col("status").isin("rejected", "confirmed"))
-    assert [r[1] + str(r[3]) for r in rows(got)] == ["anew", "brejected", "cNone", "eNone", "fnew", "dNone"]
+    """A null or empty status stays as a ruling does, and is not written beside."""
+    old = spark.createDataFrame([(1, "a", "ai", "pending"), (1, "b", "ai", "rejected"), (1, "c", "human", "pending"), (2, "d", "ai", "pending"), (1, "e", None, "pending"), (1, "n", "ai", None), (1, "o", "ai", ""), (1, "p", "ai", "confirmed")], "w int, k string, made string, status string")
+    new = spark.createDataFrame([(1, k, "ai", "new") for k in "abfnop"], old.schema)
+    got = joins.replace_uncurated(old, new, ["w", "k"], ["w"], F.col("made") == "ai", F.col("status"))
+    assert sorted(r.k + str(r.status) for r in got.collect()) == ["anew", "brejected", "cpending", "dpending", "epending", "fnew", "nNone", "o", "pconfirmed"]
 
 
 def test_identity_rename_keeps_the_new_row(spark):
