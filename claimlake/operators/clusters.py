@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Roots up to which a round gives them to every task; joined by hash beyond.
+BROADCAST_ROWS = 1_000_000
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df behind a checkpoint in spark.checkpoint.dir; where that is unset, in a folder of our own in local mode, and an error elsewhere."""
     spark = df.sparkSession
@@ -41,8 +45,12 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(roots, both.b == roots.node).groupBy("a").agg(F.min("root").alias("near"))
         step = roots.join(near, roots.node == near.a).select("node", F.least("root", "near").alias("mid"), F.col("root").alias("was"))
+        step = cut(step)
+        # the members of a giant component share one mid: it is looked up once, and given back without a shuffle by it
         own = step.select(F.col("node").alias("__node"), F.col("mid").alias("__next"))
-        new = cut(step.join(own, step.mid == own["__node"]).select("node", F.least("mid", "__next").alias("root"), (F.least("mid", "__next") < F.col("was")).alias("moved")))
+        jumps = cut(step.select(F.col("mid").alias("__mid")).distinct().join(own, F.col("__mid") == F.col("__node")).select("__mid", "__next"))
+        jumps = F.broadcast(jumps) if jumps.count() <= BROADCAST_ROWS else jumps
+        new = cut(step.join(jumps, F.col("mid") == F.col("__mid")).select("node", F.least("mid", "__next").alias("root"), (F.least("mid", "__next") < F.col("was")).alias("moved")))
         roots = new.select("node", "root")
         if new.filter("moved").isEmpty():
             return roots

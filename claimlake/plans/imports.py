@@ -1,4 +1,4 @@
-"""Store import over artefacts that events stand for: a work for each user, a claim for each event. Each query has DuckDB SQL for the same rows."""
+"""Store import over artefacts that events stand for: a work for each user and day, a claim for each event. Each query has DuckDB SQL for the same rows."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..sources import previews
 from .queries import query
 
-_ROWS = """e AS (SELECT 'u' || user_id AS work_id, event_id AS pos, event_id % 3 AS list, event_type, 'n' || (event_id % 7) AS f, 'n' || (event_id % 5) AS t, event_type AS type, CAST(day(ts) AS VARCHAR) AS chapter,
+_ROWS = """e AS (SELECT 'u' || user_id || '-' || day(ts) AS work_id, event_id AS pos, event_id % 3 AS list, event_type, 'n' || (event_id % 7) AS f, 'n' || (event_id % 5) AS t, event_type AS type, CAST(day(ts) AS VARCHAR) AS chapter,
 CASE WHEN event_id % 9 <> 0 THEN (event_id * 37 % 101) / 100.0 END AS p, CASE event_id % 4 WHEN 0 THEN 'validated' WHEN 1 THEN 'review_required' WHEN 2 THEN 'rejected' END AS state, CASE WHEN event_id % 5 = 0 THEN 'downgraded' END AS note FROM events)"""
 _STORED = "s AS (SELECT work_id, f AS name FROM e WHERE event_type = 'view' UNION SELECT work_id, f FROM e WHERE list < 2 AND (state = 'validated' OR state = 'review_required' AND p IS NOT NULL))"
 _FIRST = "arg_min({0}, list * 1000000000000 + pos)"
@@ -19,7 +19,7 @@ _MERGES = "g AS (SELECT work_id, least('n' || (pos % 4), 'n' || (pos % 3)) AS a,
 
 
 def _artefacts(t):
-    """One JSON object for each user, read back by the artefact reader."""
+    """One JSON object for each user and day, read back by the artefact reader; no busy user's events come together whole."""
     n = F.col("event_id")
     p = F.when(n % 9 != 0, (n * 37 % 101) / 100.0)
     state = F.when(n % 4 == 0, "validated").when(n % 4 == 1, "review_required").when(n % 4 == 2, "rejected")
@@ -32,13 +32,13 @@ def _artefacts(t):
         return F.transform(F.array_sort(F.collect_list(F.when(when, F.struct(n, item.alias("x"))))), lambda s: s["x"])
 
     kind = F.col("event_type")
-    works = t("events").groupBy("user_id").agg(
+    works = t("events").groupBy("user_id", F.dayofmonth("ts").alias("day")).agg(
         *(listed(claim, n % 3 == i).alias(c) for i, c in enumerate(previews.CLAIM_LISTS)),
         listed(person, kind == "view").alias("characters"),
         listed(person, kind == "click").alias("minor_characters"),
         listed(merge, kind == "signup").alias("possible_merges"),
     )
-    texts = works.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("work_id"), *works.columns[1:])
+    texts = works.select(F.concat_ws("-", F.concat(F.lit("u"), F.col("user_id").cast("string")), F.col("day").cast("string")).alias("work_id"), *works.columns[2:])
     return previews.parsed(texts.select(F.to_json(F.struct("*")).alias("value"), F.concat("work_id", F.lit(".json")).alias("file")))
 
 

@@ -37,7 +37,9 @@ def parsed(texts: DataFrame) -> DataFrame:
 
 
 def people(art: DataFrame) -> DataFrame:
-    """work_id, name, list, pos, evidence, unresolved_mentions: principals before minors, the first entry of a name wins."""
+    """work_id, name, list, pos, evidence, mentions: principals before minors, the first entry of a name wins. An artefact with neither list is an error that names its work."""
+    lost = F.raise_error(F.concat(F.lit("no list of characters: "), "work_id"))
+    art = art.withColumn(PEOPLE[0], F.when(F.col(PEOPLE[0]).isNull() & F.col(PEOPLE[1]).isNull(), lost).otherwise(F.col(PEOPLE[0])))
     each = [art.select("work_id", F.lit(i).alias("list"), F.posexplode(c).alias("pos", "p")) for i, c in enumerate(PEOPLE)]
     rows = reduce(DataFrame.union, each).filter("p.name <> ''").select("work_id", F.col("p.name").alias("name"), "list", "pos", F.col("p.evidence").alias("evidence"), F.col("p.unresolved_mentions").alias("mentions"))
     first = rows.groupBy("work_id", "name").agg(F.min(F.struct("list", "pos")).alias("first")).select("work_id", "name", "first.list", "first.pos")
@@ -88,21 +90,36 @@ def merges(art: DataFrame) -> DataFrame:
 
 
 def mentions(art: DataFrame) -> DataFrame:
-    """work_id, character, mention, evidence: each mention of a person once; a bare string is one mention."""
+    """work_id, character, mention, evidence: each mention of a person once; a bare string is one mention, and a shape that is neither text nor a list of texts is an error that names the person."""
     many, one = F.expr("try_variant_get(mentions, '$', 'array<string>')"), F.expr("try_variant_get(mentions, '$', 'string')")
-    said = F.when(F.expr("schema_of_variant(mentions) LIKE 'ARRAY%'"), many).when(F.expr("schema_of_variant(mentions) = 'STRING'"), F.array(one))
+    kind = F.expr("schema_of_variant(mentions)")
+    bad = F.raise_error(F.concat(F.lit("mentions of no known shape: "), "work_id", F.lit(", "), "name"))
+    none = F.col("mentions").isNull() | F.coalesce(F.expr("is_variant_null(mentions)"), F.lit(True))
+    said = F.when(none, F.array().cast("array<string>")).when((kind == "ARRAY<STRING>") | (kind == "ARRAY<VOID>"), many).when(kind == "STRING", F.array(one)).otherwise(bad)
     return people(art).select("work_id", F.col("name").alias("character"), "evidence", F.explode(said).alias("mention")).dropDuplicates(["work_id", "character", "mention"])
 
 
 def alerts(art: DataFrame, floor: float = 0.30) -> DataFrame:
-    """work_id, kind, label, type, score, reason: scored candidates at or over the floor, merges only under scores.MERGE_AT; each identity once, candidates before claims of people outside the store."""
+    """work_id, kind, label, type, score, reason: scored candidates at or over the floor, merges only under scores.MERGE_AT; each identity once, candidates before claims of people outside the store.
+
+    One pass over the claims: each is marked as dropped, near miss or claim of an unstored person, and an identity's
+    firsts of each kind come from one aggregation.
+    """
     shown = scores.claim_label(F.col("from"), F.col("to"))
-    found = dropped_claims(art).withColumn("rank", F.lit(0)).unionByName(near_misses(art).withColumn("rank", F.lit(0)))
-    rest = claims(art).filter(~scores.shipped_confirmed(F.col("validation_state"), F.col("validation_note"), F.col("type")))
-    rest = anti(rest.withColumnRenamed("from", "name"), stored_names(art), ["work_id", "name"]).withColumnRenamed("name", "from").filter((F.col("list") < 2) & (F.col("from") != ""))
-    both = found.unionByName(rest.withColumn("state", _said("unconfirmed")).withColumn("rank", F.lit(1)).select(found.columns)).filter(F.col("score") >= floor)
-    first = both.groupBy(*CLAIM_KEY).agg(F.min_by(F.struct("score", "state"), F.struct("rank", "list", "pos")).alias("r"))
-    said = first.select("work_id", F.lit("claim").alias("kind"), shown.alias("label"), "type", "r.score", F.col("r.state").alias("reason"))
+    known = stored_names(art).select(F.col("work_id").alias("__work"), F.col("name").alias("__name"), F.lit(True).alias("__stored"))
+    rows = claims(art).join(known, (F.col("work_id") == F.col("__work")) & (F.col("from") == F.col("__name")), "left")
+    dropped = (F.col("list") == 2) | F.col("validation_state").eqNullSafe("rejected")
+    open_ = (F.col("list") < 2) & ~scores.shipped_confirmed(F.col("validation_state"), F.col("validation_note"), F.col("type"))
+    stored = F.col("__stored").isNotNull()
+    at, high = F.struct("list", "pos"), F.coalesce(F.col("score") >= floor, F.lit(False))
+
+    def first(otherwise: str, when):
+        return F.min_by(F.struct("score", _said(otherwise).alias("state")), F.when(when, at))
+
+    each = rows.groupBy(*CLAIM_KEY).agg(F.bool_or(dropped).alias("was_dropped"), first("dropped", dropped).alias("d"), first("unconfirmed", open_ & stored & F.col("judged")).alias("n"), first("unconfirmed", open_ & ~stored & (F.col("from") != "") & high).alias("r"))
+    found = F.when(F.col("was_dropped"), F.col("d")).otherwise(F.col("n"))
+    r = F.when(F.coalesce(found["score"] >= floor, F.lit(False)), found).otherwise(F.col("r"))
+    said = each.withColumn("r", r).filter("r IS NOT NULL").select("work_id", F.lit("claim").alias("kind"), shown.alias("label"), "type", "r.score", F.col("r.state").alias("reason"))
     band = merges(art).filter((F.col("score") >= floor) & (F.col("score") < scores.MERGE_AT))
     a, b = (F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("(unnamed)")) for c in ("name_a", "name_b"))
     pairs = band.select("work_id", F.lit("merge").alias("kind"), F.concat(F.least(a, b), F.lit(" ↔ "), F.greatest(a, b)).alias("label"), F.lit("merge").alias("type"), "score", F.col("state").alias("reason"))
