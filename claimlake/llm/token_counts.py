@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -20,6 +21,7 @@ PRETOKEN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 COUNTS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
+@functools.lru_cache(maxsize=4)
 def proven_whole(path: str) -> frozenset[str]:
     """The vocabulary strings that are one pre-token and that the library itself encodes as one token.
 
@@ -39,11 +41,44 @@ def proven_whole(path: str) -> frozenset[str]:
     return frozenset(t for t, e in zip(candidates, library.encode_batch(candidates, add_special_tokens=False), strict=True) if len(e.ids) == 1)
 
 
+#: Code points whose class is looked at. Texts with others go to the library.
+LOOKED_AT = 0x10000
+
+
+@functools.lru_cache(maxsize=4)
+def unsure_signs(path: str) -> str:
+    """A character class of the signs that the library may part a text at in another way than PRETOKEN.
+
+    Proven on the driver, once for a vocabulary: each sign stands after a letter, a digit and a space, and before each of
+    these, and both must part these alike; a pre-token depends on nothing but its signs' classes.
+    """
+    cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    unsure = []
+
+    def differs(signs: list[str]) -> bool:
+        text = "".join(f"a{c}1{c} {c}x\n" for c in signs)
+        return [span for _, span in cut(text)] != [m.span() for m in PRETOKEN.finditer(text)]
+
+    def look(low: int, high: int) -> None:
+        signs = [chr(c) for c in range(low, high) if not 0xD800 <= c < 0xE000]
+        if not differs(signs):
+            return
+        if high - low == 1:
+            unsure.append(low)
+            return
+        look(low, (low + high) // 2)
+        look((low + high) // 2, high)
+
+    for low in range(0, LOOKED_AT, 256):
+        look(low, low + 256)
+    return "[" + "".join(f"\\U{c:08x}" for c in unsure) + f"\\U{LOOKED_AT:08x}-\\U0010ffff]"
+
+
 class Counter:
-    """Counts a text's tokens: whole pre-tokens directly, the rest by the library's merges."""
+    """Counts a text's tokens: whole pre-tokens directly, the rest by the library's merges. Only texts with special strings or unsure signs go to the library whole."""
 
-    def __init__(self, path: str, whole: frozenset[str]):
-        self.library, self.whole = Tokenizer.from_file(path), whole
+    def __init__(self, path: str, whole: frozenset[str], unsure: str):
+        self.library, self.whole, self.unsure = Tokenizer.from_file(path), whole, re.compile(unsure)
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.merged = Memo(lambda p: len(self.library.encode(p, add_special_tokens=False).ids))
@@ -54,9 +89,8 @@ class Counter:
         first = text[0] == "\n"
         return first + sum(1 if p in self.whole else self.merged[p] for p in PRETOKEN.findall(text[first:]))
 
-    def missing(self, chunks: list[str]) -> None:
+    def missing(self, chunks: list[str], lacking: set[str]) -> None:
         """Merges all pre-tokens that a batch needs and that no memo holds yet in one call of the library."""
-        lacking: set[str] = set()
         for c in {*chunks}.difference(self.chunks):
             text = SpacedChunks.whole(c)
             lacking.update(PRETOKEN.findall(text[text[0] == "\n" :]))
@@ -66,8 +100,17 @@ class Counter:
 
     def counts(self, texts: list[str]) -> list[int]:
         cut = [None if self.special.search(t) else SpacedChunks.cut(t) for t in texts]
-        self.missing([c for x in cut if x for c in x])
-        out = [len(self.library.encode(t, add_special_tokens=False).ids) if x is None else sum(map(self.chunks.__getitem__, x)) for t, x in zip(texts, cut, strict=True)]
+        # a text with runs of white space or other scripts: its pre-tokens, told by the same pattern
+        parted = [PRETOKEN.findall(t) if x is None and not self.special.search(t) and not self.unsure.search(t) else None for t, x in zip(texts, cut, strict=True)]
+        self.missing([c for x in cut if x for c in x], {p for x in parted if x for p in x})
+        out = []
+        for t, x, y in zip(texts, cut, parted, strict=True):
+            if x is not None:
+                out.append(sum(map(self.chunks.__getitem__, x)))
+            elif y is not None:
+                out.append(sum(1 if p in self.whole else self.merged[p] for p in y))
+            else:
+                out.append(len(self.library.encode(t, add_special_tokens=False).ids))
         self.merged.trim()
         self.chunks.trim()
         return out
@@ -81,10 +124,11 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     rows, no shuffle; only the proven vocabulary strings, bounded by the vocabulary, travel to the tasks.
     """
     whole = docs.sparkSession.sparkContext.broadcast(proven_whole(path))
+    unsure = unsure_signs(path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = once(("count", path), lambda: Counter(path, whole.value))
+        counter = once(("count", path), lambda: Counter(path, whole.value, unsure))
         for big in batches:
             for batch in slices(big, "text", 8 << 20):
                 n = np.array(counter.counts(batch.column(1).to_pylist()), np.int64)

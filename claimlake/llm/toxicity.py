@@ -18,11 +18,12 @@ from .shared import SPACE, buffers, once, slices, stored
 #: What a disguising character may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-#: What the channel charges, as negative logarithms: a letter put for another sign, a repeated letter left out or kept, a separator left out.
+#: What the channel charges, as negative logarithms: a letter put for another sign, a repeated letter left out or kept, a separator or a space left out.
 COST = {"leet": 1.0, "drop": 0.7, "keep": 0.7, "apart": 0.5}
 SCORES = "doc_id long, score double, n_hits long"
 _ODD = re.compile(r"[^a-z]|(.)\1")
-_SPACED = re.compile(r"(?<!\S)(?:\S\s+){3,}\S(?!\S)")
+#: Stretches of tokens of one or two signs, which may be letters of words that were spaced out; what is a word's edge there, the lattice decides.
+_SHORT = re.compile(r"(?<!\S)(?:\S{1,2}\s+){2,}\S{1,2}(?!\S)")
 _EDGE = ".,;:?\"'()[]{}%&*#<>=-_~`/\\"
 
 
@@ -73,31 +74,39 @@ class Restorer:
         self.price = -np.log((c + 5 * backed[None]) / (two + 5))
         self.price = self.price.tolist()
 
-    def restore(self, word: str) -> str:
-        """Letters alone; "" where nothing can be read."""
+    def decode(self, text: str) -> list[str]:
+        """The most likely words behind a text: letters alone. A space may be a word's edge or stand within a word."""
         price = self.price
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before = ""
-        for c in word:
-            options = [(LETTERS.index(c) + 1, 0.0)] if c in LETTERS else [(LETTERS.index(x) + 1, COST["leet"]) for x in LEET.get(c, "")]
-            repeated, before = c == before, c
+        for c in text:
+            options = [(LETTERS.index(c) + 1, 0.0)] if c in LETTERS else [(0, 0.0)] if c == " " else [(LETTERS.index(x) + 1, COST["leet"]) for x in LEET.get(c, "")]
+            repeated = c == before
+            if c != " ":
+                before = c
             now: dict = {}
             for (a, b), (cost, path) in best.items():
                 for x, extra in options:
-                    total = cost + price[a][b][x] + extra + (COST["keep"] if repeated else 0)
+                    if not x and not b:  # there is no word to end
+                        continue
+                    total = cost + price[a][b][x] + extra + (COST["keep"] if repeated and x else 0)
                     if (b, x) not in now or total < now[b, x][0]:
                         now[b, x] = (total, (path, x))
-                if repeated or not options or c not in LETTERS and c in "!|+":
-                    total = cost + (COST["drop"] if repeated else COST["apart"])
+                if repeated or not options or c not in LETTERS and c in "!|+ ":
+                    total = cost + (COST["drop"] if repeated and c != " " else COST["apart"])
                     if (a, b) not in now or total < now[a, b][0]:
                         now[a, b] = (total, path)
             best = now
-        (_, path) = min(((cost + price[a][b][0], path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0], default=(0, None))
+        (_, path) = min(((cost + (price[a][b][0] if b or not a else 0), path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0], default=(0, None))
         out = []
         while path:
             path, x = path
-            out.append(LETTERS[x - 1])
-        return "".join(reversed(out))
+            out.append(LETTERS[x - 1] if x else " ")
+        return "".join(reversed(out)).split()
+
+    def restore(self, word: str) -> str:
+        """The letters behind one word; "" where nothing can be read."""
+        return "".join(self.decode(word))
 
     def readings(self, token: str) -> set[str]:
         """Words that a lower-cased token may be: as it stands, and restored where it looks disguised."""
@@ -108,12 +117,13 @@ class Restorer:
         return out
 
     def spaced(self, text: str) -> set[str]:
-        """Words spelled with spaces between their letters."""
+        """Words that stretches of short tokens spell, three single signs at least among these: as the lattice parts them, and each stretch as one, read and as it stands."""
         out = set()
-        for m in _SPACED.finditer(text):
-            joined = fold("".join(m[0].split()))
-            if len(set(joined)) > 2:
-                out |= {joined, self.restore(joined)}
+        for m in _SHORT.finditer(text):
+            tokens = fold(m[0]).split()
+            if sum(len(t) == 1 for t in tokens) >= 3 and len({*"".join(tokens)}) > 2:
+                words = self.decode(" ".join(tokens))
+                out |= {*words, "".join(words), "".join(tokens)}
         return out
 
 

@@ -37,6 +37,31 @@ def test_every_row_once(edge):
         assert out.collect() == []
 
 
+def test_texts_of_any_script_are_counted_by_pre_tokens():
+    """Only texts with special strings or unsure signs go to the library whole."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counter = token_counts.Counter(path, token_counts.proven_whole(path), token_counts.unsure_signs(path))
+    texts = ["tabs\tand  two spaces,\n\n\nlines  ", "“curly” quotes’ — dashes… don’t it's WE'LL", "東京は晴れ。 Привет, мир! שלום 123４５６", "\u00a0no-break\u2003em\x1c\x85odd\u200b spaces\u3000here", "a" * 5000 + "  " + "é" * 5000, "¼ ² x́ e\u0301 ǅ ﬁ", "\r\n\r\n \r end \n", "हिन्दी में", "  "]
+    want = [len(counter.library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+    class Parts:
+        def __init__(self, library):
+            self.encode_batch_fast = library.encode_batch_fast
+
+        def encode(self, text, **_):
+            raise AssertionError(f"encoded whole: {text[:40]!r}")
+
+    library, counter.library = counter.library, Parts(counter.library)
+    merged = counter.merged
+    merged.compute = lambda p: len(library.encode(p, add_special_tokens=False).ids)
+    assert counter.counts(texts) == want
+    with pytest.raises(AssertionError):
+        counter.counts(["<|endoftext|> and \u0558"])
+    counter.library = library
+    odd = ["<|endoftext|> x", "\u0558 x", "\U0001f600 smile \U00020000"]
+    assert counter.counts(odd) == [len(library.encode(t, add_special_tokens=False).ids) for t in odd]
+
+
 def test_encode_and_decode(edge):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     back = bpe.decode(bpe.encode(edge, ranks, public_tokenizers.PATTERN), ranks)
@@ -84,6 +109,75 @@ def test_viterbi_finds_the_cheapest_reading():
         assert best in costs and abs(costs[best] - min(costs.values())) < 1e-9, word
 
 
+def spaced_readings(text):
+    """Every way to read a text's signs and spaces, and what the channel charges for it."""
+    parts = []
+    before = ""
+    for c in text:
+        if c == " ":
+            parts.append([(" ", 0.0), ("", toxicity.COST["apart"])])
+            continue
+        repeated, before = c == before, c
+        keep = toxicity.COST["keep"] if repeated else 0.0
+        here = [(c, keep)] if c in toxicity.LETTERS else [(x, toxicity.COST["leet"] + keep) for x in toxicity.LEET.get(c, "")]
+        if repeated or not here or c in "!|+":
+            here.append(("", toxicity.COST["drop"] if repeated else toxicity.COST["apart"]))
+        parts.append(here)
+    for way in itertools.product(*parts):
+        yield "".join(x for x, _ in way), sum(c for _, c in way)
+
+
+def test_spaces_are_read_in_the_lattice():
+    rng = np.random.default_rng(15)
+    restorer = toxicity.Restorer(rng.integers(0, 50, 27**3))
+    for text in ("i d i o t", "an i d", "m 0 r 0 n", "a b  c".replace("  ", " "), "x x x", "1 d 1 0 t", "a b c d e f"):
+        best = {}
+        for read, cost in spaced_readings(text):
+            if read.startswith(" ") or "  " in read:  # there is no word to end
+                continue
+            codes = [0, 0, *(0 if c == " " else toxicity.LETTERS.index(c) + 1 for c in read)]
+            if codes[-1] or len(codes) == 2:
+                codes.append(0)
+            total = cost + sum(restorer.price[a][b][c] for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
+            words = " ".join(read.split())
+            best[words] = min(best.get(words, 1e9), total)
+        got = restorer.decode(text)
+        assert abs(best[" ".join(got)] - min(best.values())) < 1e-9, (text, got)
+
+
+def test_words_learned_and_score_by_the_definition(spark):
+    rng = np.random.default_rng(16)
+    vocab = [f"{a}{b}{c}" for a in "bdf" for b in "aeo" for c in "lmn"]
+    rows = []
+    for i in range(700):
+        toxic = int(rng.random() < 0.3)
+        words = [vocab[k] for k in rng.integers(8, len(vocab), 6)] + [vocab[k] for k in rng.integers(0, 4, 1)] * (rng.random() < (0.8 if toxic else 0.02))
+        rows.append((i, " ".join(words), toxic))
+    docs, labels = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    import zlib
+    from math import comb, exp, log
+
+    texts = {(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5}
+    bad, good = sum(y for _, y in texts), sum(1 - y for _, y in texts)
+    want = {}
+    for w in vocab:
+        b, g = (sum(w in t.split() for t, y in texts if y == k) for k in (1, 0))
+        odds = log((b + 0.5) / (bad + 1)) - log((g + 0.5) / (good + 1))
+        rate = bad / (bad + good)
+        p = sum(comb(b + g, k) * rate**k * (1 - rate) ** (b + g - k) for k in range(b, b + g + 1))
+        if b >= 3 and odds >= 2 and p <= 0.001:
+            want[w] = (odds, b, g)
+    _, weights, bias = toxicity.learned(docs, labels)
+    assert weights.keys() == want.keys() and len(want) >= 3 and all(abs(weights[w] - want[w][0]) < 1e-9 for w in want)
+    absent = sum(log((1 - (b + 0.5) / (bad + 1)) / (1 - (g + 0.5) / (good + 1))) for _, b, g in want.values() if b < bad and g < good)
+    assert abs(bias - (log((bad + 1) / (good + 1)) + max(absent, -6.0))) < 1e-9
+    long = spark.createDataFrame([(1000, "bal den " * 150_000), (1001, ""), (1002, None)], "doc_id long, text string")
+    for r in toxicity.score(docs.union(long), labels).collect():
+        t = dict([(1000, "bal den"), (1001, ""), (1002, "")]).get(r.doc_id) if r.doc_id >= 1000 else rows[r.doc_id][1]
+        hits = {w for w in t.split() if w in weights}
+        assert r.n_hits == len(hits) and abs(r.score - 1 / (1 + exp(-(bias + sum(weights[w] for w in hits))))) < 1e-9, r
+
+
 DISGUISES = {
     "leet": lambda w: w.translate(str.maketrans("oiea", "0134")),
     "repeated": lambda w: re.sub("([aeiou])", r"\1\1\1", w, count=1),
