@@ -181,3 +181,21 @@ def series_label(series: Column, number: Column) -> Column:
 def run_process(c: Column | str) -> Column:
     """The process number in run-<date>-<time>-<number>[-n].jsonl, or null."""
     return F.nullif(F.regexp_extract(_text(c), r"^run-[0-9]+-[0-9]+-([0-9]+)(?:-[0-9]+)?\.jsonl$", 1), F.lit("")).cast("long")
+
+
+#: Words that name a relation or a rank, not a person.
+KIN = ("wife", "husband", "son", "daughter", "mother", "father", "mom", "dad", "brother", "sister", "uncle", "aunt", "cousin", "nephew", "niece", "grandmother", "grandfather", "grandson", "granddaughter", "parent", "parents", "child", "children", "fiance", "fiancee", "girlfriend", "boyfriend", "widow", "widower")
+
+
+def valid_alias(c: Column | str) -> Column:
+    """Whether a form may stand for a person: no possessive, no word of kinship alone, no form of address with a surname (Mrs. X is another person than X), and not "the" before a description."""
+    low = F.lower(_tidy(F.replace(_text(c), F.lit("’"), F.lit("'"))))
+    bare = F.regexp_replace(low, "[^a-z ]", "")
+    return (low != "") & ~low.rlike(r"'s\b|s'(\s|$)") & ~bare.isin(*KIN) & ~low.rlike(r"^(mr|mrs|ms|miss)\b\.?") & ~low.rlike(r"^(the|a|an|my|his|her|their|our)\s")
+
+
+def chapter_order(c: Column | str) -> Column:
+    """A key that sorts whole numbers first, by size, and other labels after them, by their text."""
+    s = F.trim(_text(c))
+    number = F.when(s.rlike("^[+-]?[0-9]{1,18}$"), s.cast("long"))
+    return F.struct(number.isNull().cast("int").alias("other"), F.coalesce(number, F.lit(0).cast("long")).alias("number"), F.when(number.isNull(), s).otherwise("").alias("text"))

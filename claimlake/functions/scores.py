@@ -98,3 +98,23 @@ def support_floor(chapters: Column) -> Column:
 def stale(last_seen: Column, as_of: Column, days: int = 180) -> Column:
     """Not seen for so many days; null dates are not stale."""
     return F.coalesce(F.datediff(as_of, last_seen) >= days, F.lit(False))
+
+
+def yes_share(c: Column) -> Column:
+    """The share of a judge's answer (a variant object): its noul, or else probabilities.yes; an error where that is missing, no finite number, or outside 0 to 1. A null answer is missing too."""
+    noul = F.try_variant_get(c, "$.noul", "variant")
+    said = F.coalesce(F.when(~F.is_variant_null(noul), noul), F.try_variant_get(c, "$.probabilities.yes", "variant"))
+    p = recorded(said)
+    good = p.isNotNull() & (p >= 0) & (p <= 1)
+    return F.when(good, p).otherwise(F.raise_error(F.concat(F.lit("no score from 0 to 1: "), F.coalesce(F.to_json(said), F.lit("missing")))))
+
+
+def choice(c: Column) -> Column:
+    """(shares, picked) of a judge's choice (a variant object): the first of probabilities, distribution and scores that is an object with entries, its finite numbers alone, null without any; and the first of choice, label, top_label and answer that is text, or else the option with the largest share, the smaller name of equal ones."""
+    maps = [F.filter(F.map_entries(F.try_variant_get(c, f"$.{k}", "map<string, variant>")), lambda e: F.lit(True)) for k in ("probabilities", "distribution", "scores")]
+    raw = F.coalesce(*(F.when(F.size(m) > 0, m) for m in maps))
+    shares = F.filter(F.transform(raw, lambda e: F.struct(e["key"].alias("option"), recorded(e["value"]).alias("share"))), lambda e: e["share"].isNotNull())
+    some = F.when(F.size(shares) > 0, shares)
+    texts = [F.when(F.schema_of_variant(F.try_variant_get(c, f"$.{k}", "variant")) == "STRING", F.try_variant_get(c, f"$.{k}", "string")) for k in ("choice", "label", "top_label", "answer")]
+    best = F.get(F.array_sort(some, lambda a, b: F.when(a["share"] > b["share"], -1).when(a["share"] < b["share"], 1).when(a["option"] < b["option"], -1).otherwise(1)), F.lit(0))["option"]
+    return F.struct(some.alias("shares"), F.coalesce(*texts, best).alias("picked"))

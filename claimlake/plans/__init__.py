@@ -1,3 +1,3 @@
 """The queries over the given tables; importing the package registers all of them."""
 
-from . import claims, imports, ledgers, live, people, queries, reading, resolving, store, texts  # noqa: F401
+from . import claims, desk, imports, ledgers, live, people, queries, reading, resolving, store, texts  # noqa: F401

@@ -49,11 +49,15 @@ def sentence_pieces(t):
     return d.select("doc_id", F.size(s).alias("n_sentences"), F.md5(F.array_join(s, "|")).alias("sentences_hash"), evidence.estimated_tokens("text").alias("tokens"), evidence.excerpt("text", 80).alias("excerpt"))
 
 
-@query(rf"""WITH {_PIECES}, q AS (SELECT doc_id, pieces, list_transform(pieces, lambda x: {_TIDY.format('x')}) AS plain FROM p WHERE len(pieces) >= 4),
+#: The sentences around each text's fourth one, found again in it, as CTE x.
+WINDOWS = rf"""{_PIECES}, q AS (SELECT doc_id, pieces, list_transform(pieces, lambda x: {_TIDY.format('x')}) AS plain FROM p WHERE len(pieces) >= 4),
 u AS (SELECT doc_id, unnest(range(len(plain))) AS i, unnest(plain) AS piece, strpos(array_to_string(plain, ' '), plain[4]) - 1 AS a, length(plain[4]) AS n FROM q),
 w AS (SELECT *, sum(length(piece) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS nxt FROM u),
-f AS (SELECT doc_id, min(i) FILTER (nxt >= a) AS first, min(i) FILTER (nxt >= a + n - 1) AS last FROM w GROUP BY 1)
-SELECT doc_id, CAST(first AS INT) AS first, CAST(last AS INT) AS last, md5(left(array_to_string(list_concat(pieces[greatest(first - 2, 0) + 1 : first], pieces[last + 2 : last + 3]), ' '), 1200)) AS window_hash FROM f JOIN q USING (doc_id)""")
+f AS (SELECT doc_id, min(i) FILTER (nxt >= a) AS first, min(i) FILTER (nxt >= a + n - 1) AS last FROM w GROUP BY 1),
+x AS (SELECT doc_id, CAST(first AS INT) AS first, CAST(last AS INT) AS last, md5(left(array_to_string(list_concat(pieces[greatest(first - 2, 0) + 1 : first], pieces[last + 2 : last + 3]), ' '), 1200)) AS window_hash FROM f JOIN q USING (doc_id))"""
+
+
+@query(f"WITH {WINDOWS} SELECT * FROM x")
 def evidence_windows(t):
     # the quote: a document's fourth sentence, found again in the whole text; the generator tells each text's sentences once
     def found(pieces):

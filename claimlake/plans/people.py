@@ -159,3 +159,27 @@ SELECT doc_id, CAST(least(chapter, greatest(1, coalesce(ended, 1))) AS INT) AS c
 def unit_chapters(t):
     units = t("documents").select(F.concat("lang", "source").alias("work"), "doc_id", "n_chars")
     return chapters.grouped(units, "work", "doc_id", "n_chars").select("doc_id", "chapter")
+
+
+_NAMED = """n AS (SELECT p_partkey, p_brand, p_name, lag(p_name) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS before, p_size FROM part)"""
+
+
+@query(f"""WITH {_NAMED}, x AS (SELECT p_partkey, string_split(p_name, ' ') AS p, string_split(regexp_replace(before, '^((the|late|former|young|old|poor|dear) )+', ''), ' ') AS q, p_size % 10 = 0 AS together FROM n WHERE before IS NOT NULL)
+SELECT p_partkey, CASE WHEN p = q THEN 'yes' WHEN together THEN 'no' WHEN len(p) >= 2 AND len(q) >= 2 AND p[-1] = q[-1] AND p[1] <> q[1] AND NOT (left(p[1], 1) = left(q[1], 1) AND least(length(p[1]), length(q[1])) >= 4 AND levenshtein(p[1], q[1]) <= 2) THEN 'no' ELSE 'ambiguous' END AS tier FROM x""")
+def merge_tiers(t):
+    from pyspark.sql import Window
+
+    from ..operators import merging
+
+    before = F.lag("p_name").over(Window.partitionBy("p_brand").orderBy("p_partkey"))
+    n = t("part").withColumn("before", before).filter("before IS NOT NULL")
+    return n.select("p_partkey", merging.merge_tier(F.concat(F.lit("The late Dr. "), "p_name"), F.col("before"), F.col("p_size") % 10 == 0).alias("tier"))
+
+
+@query("""WITH x AS (SELECT DISTINCT p_brand AS work, p_name AS k, string_split(p_name, ' ') AS w FROM part)
+SELECT a.work, a.k AS a, b.k AS b FROM x AS a JOIN x AS b ON a.work = b.work AND a.k < b.k AND a.w[-1] = b.w[-1]""")
+def nominated_pairs(t):
+    from ..operators import merging
+
+    people = t("part").select(F.col("p_brand").alias("work"), F.col("p_name").alias("name"))
+    return merging.nominated(people, "work", "name").filter(F.array_contains("signals", "shared_surname")).select("work", "a", "b")

@@ -42,10 +42,10 @@ def claim_rollup(t):
     return t("events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(cents("value")).alias("cents"), F.max("event_id").alias("last_event"))
 
 
-@query("SELECT event_type, user_id, count(*) AS n FROM events GROUP BY GROUPING SETS ((event_type), (user_id), ())")
+@query("SELECT event_type, user_id, count(*) AS n, CAST(GROUPING(event_type, user_id) AS BIGINT) AS totalled FROM events GROUP BY GROUPING SETS ((event_type), (user_id), ())")
 def report_grouping_sets(t):
     e = t("events")
-    return e.groupingSets([["event_type"], ["user_id"], []], "event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return e.groupingSets([["event_type"], ["user_id"], []], "event_type", "user_id").agg(F.count(F.lit(1)).alias("n"), F.grouping_id("event_type", "user_id").alias("totalled"))
 
 
 @query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")

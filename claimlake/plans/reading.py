@@ -48,10 +48,10 @@ def spice_levels(t):
     return chapters.intensity(t("lineitem").select("l_suppkey", (F.col("l_quantity").cast("int") % 9 - 2).alias("peak")), ["l_suppkey"], "peak")
 
 
-@query("""WITH e AS (SELECT DISTINCT user_id, day(ts) AS chapter, CASE WHEN event_type <> 'error' THEN event_type END AS who FROM events WHERE event_id % 4 = 0), n AS (SELECT user_id, count(DISTINCT chapter) AS total FROM e GROUP BY 1)
+@query("""WITH e AS (SELECT DISTINCT user_id, day(ts) AS chapter, CASE WHEN event_type <> 'error' THEN event_type END AS who FROM events), n AS (SELECT user_id, count(DISTINCT chapter) AS total FROM e GROUP BY 1)
 SELECT user_id, who, count(*) AS chapter_count FROM e JOIN n USING (user_id) WHERE who IS NOT NULL GROUP BY 1, 2, total HAVING count(*) >= CASE WHEN total < 4 THEN 1 ELSE 2 END""")
 def told_by(t):
-    e = t("events").filter("event_id % 4 = 0").select("user_id", F.dayofmonth("ts").alias("chapter"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("who"))
+    e = t("events").select("user_id", F.dayofmonth("ts").alias("chapter"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("who"))
     return chapters.points_of_view(e, ["user_id"], "chapter", "who")
 
 
@@ -111,11 +111,11 @@ def budget_reserves(t):
     return gates.reserved(c, "user_id", "event_type", "demand", "reserve", "budget")
 
 
-@query("""WITH r AS (SELECT o_custkey, o_orderkey, CAST(floor(pow(o_totalprice / 50000, 4)) AS BIGINT) AS readers FROM orders WHERE o_orderpriority = '1-URGENT'),
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, CAST(floor(pow(o_totalprice / 50000, 4)) AS BIGINT) AS readers FROM orders),
 w AS (SELECT *, row_number() OVER q AS i, lead(readers) OVER q AS runner_up FROM r WINDOW q AS (PARTITION BY o_custkey ORDER BY readers DESC, o_orderkey))
 SELECT o_custkey, o_orderkey, readers, runner_up IS NOT NULL AS dominance FROM w WHERE i = 1 AND (runner_up IS NULL OR readers >= 100 AND readers >= 20 * runner_up)""")
 def dominant_match(t):
-    r = t("orders").filter("o_orderpriority = '1-URGENT'").select("o_custkey", "o_orderkey", F.floor(F.pow(F.col("o_totalprice") / 50000, F.lit(4))).cast("long").alias("readers"))
+    r = t("orders").select("o_custkey", "o_orderkey", F.floor(F.pow(F.col("o_totalprice") / 50000, F.lit(4))).cast("long").alias("readers"))
     return gates.dominant(r, ["o_custkey"], "readers", [F.col("o_orderkey")])
 
 

@@ -76,3 +76,26 @@ def name_forms(t):
     form = F.when(F.col("p_partkey") % 3 == 0, F.substring_index("p_name", " ", 1)).when(F.col("p_partkey") % 3 == 1, F.substring_index("p_name", " ", -1)).otherwise("Bo")
     pair = names.canonical_pair(F.col("p_brand"), F.col("p_type"), kind)
     return p.select("p_partkey", names.surname("p_name").alias("surname"), F.concat(pair["source"], F.lit(">"), pair["target"], F.lit(":"), pair["kind"]).alias("pair"), names.overlap_score(F.col("p_name"), F.col("p_type")).alias("overlap"), names.form_class(form, F.col("p_name")).alias("form"), names.series_label(F.col("p_brand"), F.col("p_size") / 2).alias("series"))
+
+
+@query("SELECT event_type, count(*) FILTER (event_id % 3 <> 2) AS read, CAST(coalesce(sum(CAST(json_extract(props, '$.k') AS BIGINT)) FILTER (event_id % 3 <> 2), 0) AS BIGINT) AS sum_k FROM events WHERE json_valid(props) GROUP BY 1")
+def salvaged_payloads(t):
+    """Payloads as a model wrote them: bare, with words around them, or cut off."""
+    n = F.col("event_id")
+    written = F.when(n % 3 == 0, F.col("props")).when(n % 3 == 1, F.concat(F.lit("Here it is: "), "props", F.lit(" Anything else?"))).otherwise(F.concat(F.lit("{"), F.left("props", F.lit(3))))
+    k = sentences_of.salvaged(written, "k long")["k"]
+    return t("events").filter(F.expr("try_parse_json(props) IS NOT NULL")).groupBy("event_type").agg(F.count(k).alias("read"), F.coalesce(F.sum(k), F.lit(0)).alias("sum_k"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_brand WHEN 1 THEN p_name END AS series, CASE p_partkey % 3 WHEN 0 THEN CAST(p_size AS DOUBLE) WHEN 1 THEN p_size + 0.5 END AS number, CASE WHEN p_partkey % 2 = 0 THEN p_partkey END AS process,
+CASE WHEN contains(p_name, 'bolt') THEN 'metal' WHEN contains(p_name, 'ring') OR contains(p_name, 'gear') THEN 'round' ELSE 'premise' END AS rationale, p_partkey % 5 <> 0 AS same_title, p_partkey % 4 <> 0 AS alias_ok FROM part""")
+def file_forms(t):
+    p, n = t("part"), F.col("p_partkey")
+    size = F.col("p_size").cast("string")
+    file = F.when(n % 3 == 0, F.concat(F.lit("["), "p_brand", F.lit(" 0"), size, F.lit("] - x.epub"))).when(n % 3 == 1, F.concat(F.lit("x ("), "p_name", F.lit(", #"), size, F.lit(".5).epub"))).otherwise("plain.epub")
+    found = names.series_of_file(file)
+    run = F.when(n % 2 == 0, F.concat(F.lit("run-20240101-120000-"), n.cast("string"), F.lit("-2.jsonl"))).otherwise("run-x.jsonl")
+    why = sentences_of.rationale_class(F.upper("p_name"), {"metal": "bolt", "round": "ring|gear"}, "premise")
+    title = F.concat(F.lit("[Set 1] - "), F.when(n % 5 == 0, "another").otherwise(F.col("p_name")))
+    alias = F.when(n % 4 == 0, F.concat("p_brand", F.lit("’s wife"))).otherwise(F.col("p_brand"))
+    return p.select("p_partkey", found["series"].alias("series"), found["number"].alias("number"), names.run_process(run).alias("process"), why.alias("rationale"), names.titles_match(F.col("p_name"), title).alias("same_title"), names.valid_alias(alias).alias("alias_ok"))

@@ -18,39 +18,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Tags that begin and end a line, and tags whose text nobody reads.
-BLOCKS = frozenset("p div br h1 h2 h3 h4 h5 h6 li tr blockquote section article".split())
-UNSEEN = frozenset("script style title".split())
+BLOCKS = ("p", "div", "br", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "blockquote", "section", "article")
+UNSEEN = ("script", "style", "title")
 #: Characters under which a document of the spine is no chapter; bytes of one entry and of a book once unpacked.
 MIN_CHARS, ENTRY_BYTES, BOOK_BYTES = 800, 16 << 20, 256 << 20
 CHAPTERS = "path string, chapter int, text string, failed string"
 
 
-class _Lines(HTMLParser):
+class _Page(HTMLParser):
+    """The lines of a page as its tags come by; what stands inside an unseen tag is passed over."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parts, self.hidden = [], 0
+        self.lines, self.open = [""], []
+
+    def _edge(self, tag: str) -> None:
+        if tag in BLOCKS:
+            self.lines.append("")
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in UNSEEN
-        self.parts.append("\n" if tag in BLOCKS else "")
+        self.open.append(tag) if tag in UNSEEN else self._edge(tag)
 
     def handle_startendtag(self, tag, attrs):
-        self.parts.append("\n" if tag in BLOCKS else "")
+        self._edge(tag)
 
     def handle_endtag(self, tag):
-        self.hidden = max(0, self.hidden - (tag in UNSEEN))
-        self.parts.append("\n" if tag in BLOCKS else "")
+        if tag in UNSEEN:
+            del self.open[-1:]
+        else:
+            self._edge(tag)
 
     def handle_data(self, data):
-        self.parts.append("" if self.hidden else data)
+        if not self.open:
+            first, *more = data.split("\n")
+            self.lines[-1] += first
+            self.lines += more
 
 
 def lines_of(page: str | None) -> str:
     """The text that a reader of a page sees, a line for each block; lines are stripped and empty ones dropped."""
-    reader = _Lines()
+    reader = _Page()
     reader.feed(page or "")
     reader.close()
-    return "\n".join(line for raw in "".join(reader.parts).split("\n") if (line := raw.strip()))
+    return "\n".join(x for x in map(str.strip, reader.lines) if x)
 
 
 def _named(tree: ElementTree.Element, tag: str) -> list[ElementTree.Element]:
