@@ -107,7 +107,7 @@ def artefacts(spark, tmp_path):
         "possible_merges": [{"name_a": "B", "name_b": "A", "p_yes": 0.5, "reason": "below"}, {"name_a": "A", "name_b": "B", "p_yes": 0.6}, {"name_a": "A", "name_b": None, "p_yes": 0.4}, {"name_a": "A", "name_b": "D", "p_yes": True}, {"name_a": "A", "name_b": "E", "p_yes": 0.9}],
     }
     (tmp_path / "one.json").write_text("﻿" + json.dumps(one), encoding="utf-8")
-    (tmp_path / "two.json").write_text("{}", encoding="utf-8")
+    (tmp_path / "two.json").write_text('{"minor_characters": []}', encoding="utf-8")
     return previews.scan(spark, str(tmp_path))
 
 
@@ -122,6 +122,15 @@ def test_import(artefacts):
     assert {(r.kind, r.label, r.score) for r in previews.alerts(artefacts).collect()} == {("claim", "Cy → (unnamed)", 0.5), ("claim", "Al → Bo", 0.8), ("merge", "A ↔ B", 0.5), ("merge", "(unnamed) ↔ A", 0.4)}
 
 
+def test_an_artefact_without_lists_of_people_is_an_error(spark):
+    df = spark.createDataFrame([("{}", "bare.json")], "value string, file string")
+    with pytest.raises(Exception, match="no list of characters"):
+        previews.people(previews.parsed(df)).collect()
+    odd = spark.createDataFrame([('{"characters": [{"name": "Al", "unresolved_mentions": 5}]}', "odd.json")], "value string, file string")
+    with pytest.raises(Exception, match="no known shape"):
+        previews.mentions(previews.parsed(odd)).collect()
+
+
 def test_no_object_is_an_error(spark):
     bad = spark.createDataFrame([("[1]", "bad.json")], "value string, file string")
     with pytest.raises(Exception, match="bad.json"):
