@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-#: Roots up to which a round gives them to every task; joined by hash beyond.
-BROADCAST_ROWS = 1_000_000
-
-
 def cut(df: DataFrame) -> DataFrame:
     """df behind a checkpoint in spark.checkpoint.dir; where that is unset, in a folder of our own in local mode, and an error elsewhere."""
     spark = df.sparkSession
@@ -37,23 +33,29 @@ def chained(df: DataFrame, keys: list[str], node: str, order: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node and root, the smallest node it is linked with over any number of links (a, b); nodes without links are absent.
 
-    Every round takes the smallest root among the neighbours and then the root's own root, so rounds grow with the
-    logarithm of a chain's length for common graphs. Each is an aggregation with partial minima behind a checkpoint.
+    Large and small stars in turn (Kiveris et al. 2014) over links (u, v), u > v: each round first gives u the smallest
+    neighbour of v, then links all smaller neighbours of u with the least of them, so links never become more and rounds
+    grow with the logarithm of a chain's length. A round is one checkpoint; nothing is broadcast by force, as the
+    driver would hold a round's roots whole, and a giant component's root is a hot key on the side that a join may split.
     """
-    both = cut(links.filter("a <> b").select("a", "b").union(links.filter("a <> b").select("b", "a")).distinct())
-    roots = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
-    while True:
-        near = both.join(roots, both.b == roots.node).groupBy("a").agg(F.min("root").alias("near"))
-        step = roots.join(near, roots.node == near.a).select("node", F.least("root", "near").alias("mid"), F.col("root").alias("was"))
-        step = cut(step)
-        # the members of a giant component share one mid: it is looked up once, and given back without a shuffle by it
-        own = step.select(F.col("node").alias("__node"), F.col("mid").alias("__next"))
-        jumps = cut(step.select(F.col("mid").alias("__mid")).distinct().join(own, F.col("__mid") == F.col("__node")).select("__mid", "__next"))
-        jumps = F.broadcast(jumps) if jumps.count() <= BROADCAST_ROWS else jumps
-        new = cut(step.join(jumps, F.col("mid") == F.col("__mid")).select("node", F.least("mid", "__next").alias("root"), (F.least("mid", "__next") < F.col("was")).alias("moved")))
-        roots = new.select("node", "root")
-        if new.filter("moved").isEmpty():
-            return roots
+    edges = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    before = _print(edges)
+    while before[0]:
+        low = edges.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        large = edges.join(low, F.col("v") == F.col("w"), "left").select("u", F.coalesce("m", "v").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        rest = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = cut(least.select("u", F.col("m").alias("v")).union(rest).distinct())
+        now = _print(edges)
+        if now == before:
+            break
+        before = now
+    return edges.union(edges.select("v", "v").distinct()).toDF("node", "root")
+
+
+def _print(edges: DataFrame) -> tuple:
+    """The number of links and a sum over them: the same before and after a round that changed nothing."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
 def canonical(members: DataFrame, root: str, confidence: str, name: str, node: str) -> DataFrame:

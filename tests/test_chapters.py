@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,6 +143,27 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert clusters.components(df.filter("false")).count() == 0
 
 
+def test_components_send_no_roots_through_the_driver(spark, monkeypatch):
+    def forced(df):
+        raise AssertionError("a broadcast holds its rows in the driver, whatever the threshold")
+
+    monkeypatch.setattr(clusters.F, "broadcast", forced)
+    rnd, root = random.Random(7), list(range(300))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(170)]
+    for a, b in links:
+        a, b = sorted((top(a), top(b)))
+        root[b] = a
+    want = [(n, top(n)) for n in {x for a, b in links if a != b for x in (a, b)}]
+    df = spark.createDataFrame([*links, (None, 5), (5, None)], "a long, b long")
+    assert got(clusters.components(df)) == sorted(want, key=str)
+
+
 def test_chains_and_canonical_members(spark):
     df = spark.createDataFrame([(1, "Al", 0.5), (2, "Alan", 0.5), (3, "Bo", None), (4, None, None)], "node long, name string, sure double")
     assert got(clusters.chained(df.withColumn("k", F.lit("x")), ["k"], "node", "node")) == [(1, 2), (1, 3), (1, 4)]
