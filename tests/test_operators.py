@@ -136,3 +136,13 @@ def test_no_object_is_an_error(spark):
     with pytest.raises(Exception, match="bad.json"):
         previews.parsed(bad).collect()
     assert previews.alerts(previews.parsed(bad.limit(0))).count() == 0
+
+
+def test_artefacts_are_read_once_for_claims_and_once_for_merges(spark):
+    art = previews.parsed(spark.createDataFrame([("{}", "a.json")], "value string, file string"))
+
+    def reads(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+    assert reads(previews.alerts(art)) == 2
+    assert reads(previews.near_misses(art)) == reads(previews.merges(art)) == 1
