@@ -3,41 +3,56 @@
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Iterator
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
 _END = re.compile(r"[.!?][ \t\n\r\f\v]+")
 
 
-def spans(text: str | None, most: int) -> list[dict]:
+def spans(text: str | None, most: int) -> Iterator[tuple[int, int]]:
     """The windows of one text: from each sentence on as many whole sentences as fit in `most` characters.
 
     A sentence longer than `most` is cut every `most` characters. A window that ends where the one before it ends lies
     inside it and is left out. Linear in the text; null and empty texts have no window.
     """
-    ends, at = [], 0
-    for stop in [m.end() for m in _END.finditer(text or "")] + [len(text or "")]:
+    ends, at = array("q"), 0
+    for stop in chain((m.end() for m in _END.finditer(text or "")), [len(text or "")]):
         if stop > at:
-            ends += [*range(at + most, stop, most), stop]
+            ends.extend(range(at + most, stop, most))
+            ends.append(stop)
             at = stop
-    out, last = [], 0
-    for i, start in enumerate([0, *ends[:-1]] if ends else []):
+    last = start = 0
+    for i, end in enumerate(ends):
         before = last
         last = max(last, i)
         while last + 1 < len(ends) and ends[last + 1] - start <= most:
             last += 1
         if i == 0 or last > before:
-            out.append({"start": start, "stop": ends[last]})
-    return out
+            yield start, ends[last]
+        start = end
 
 
 def passages(c: Column | str, most: int = 600) -> Column:
-    """The spans of a text's passages as an array of (start, stop), code points from 0, stop exclusive."""
+    """The spans of a text's passages as an array of (start, stop), code points from 0, stop exclusive.
 
-    @F.pandas_udf("array<struct<start:int,stop:int>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda s: spans(s, most), na_action=None)
+    A worker holds one text as a string at a time; what it returns are two integers a passage, not objects.
+    """
+
+    @F.arrow_udf("array<struct<start:int,stop:int>>")
+    def cut(texts: pa.Array) -> pa.Array:
+        starts, stops, offsets = array("i"), array("i"), array("i", [0])
+        for text in texts:
+            for a, b in spans(text.as_py(), most):
+                starts.append(a)
+                stops.append(b)
+            offsets.append(len(starts))
+        values = pa.StructArray.from_arrays([pa.array(np.frombuffer(x, np.int32)) for x in (starts, stops)], names=["start", "stop"])
+        return pa.ListArray.from_arrays(pa.array(np.frombuffer(offsets, np.int32)), values)
 
     return cut(c)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pivots that cells are formed around, rows of a cell's piece, and rows that are compared at once.
-PIVOTS, PIECE, CHUNK = 64, 8192, 1024
+PIVOTS, PIECE, CHUNK = 64, 8192, 256
 #: What rounding may shift an angle or a cosine by.
 SLACK = 1e-9
 
@@ -27,7 +27,7 @@ def near_pairs(vectors: DataFrame, key: str, vector: str, least: float, pivots:
     within an angle only if their angles to a pivot differ by no more than that, so a cell is passed over if even its
     farthest resident stands too near its pivot. A visitor comes to a cell only from one with a smaller number, so a pair
     meets once. Cells of many residents are parted by hash; a piece gets all the cell's visitors and no pair leaves a
-    task unless it is a hit. Vectors of another length than the pivots' are an error.
+    task unless it is a hit. A worker holds the residents of one piece and CHUNK of its visitors, who stream by. Vectors of another length than the pivots' are an error.
     """
     if not 0 < least <= 1:
         raise ValueError("least must be over 0 and at most 1")
@@ -56,43 +56,51 @@ def near_pairs(vectors: DataFrame, key: str, vector: str, least: float, pivots:
         far[r.cell], pieces[r.cell] = r.far, -(-r.n // PIECE)
 
     def send(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            v, at = angles(batch)
-            ids = np.asarray(batch.column(0))
-            home = at.argmin(axis=1)
-            own = ids % pieces[home]
-            rows_, cells, parts = [], [], []
-            for i in range(batch.num_rows):
-                for c in np.flatnonzero((at[i] - reach <= far) & (np.arange(len(centre)) >= home[i])).tolist():
-                    first = int(own[i]) if c == home[i] else 0
-                    rows_ += [i] * (int(pieces[c]) - first)
-                    cells += [c] * (int(pieces[c]) - first)
-                    parts += range(first, int(pieces[c]))
-            r, c, p = np.array(rows_, np.int64), np.array(cells, np.int64), np.array(parts, np.int64)
-            raw = pa.array([x.tobytes() for x in v], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(p), pa.array(ids[r]), pa.array((c == home[r]) & (p == own[r])), raw.take(pa.array(r))], names=["cell", "piece", "id", "lives", "v"])
-
-    def meet(table: pa.Table) -> pa.Table:
-        ids = np.asarray(table["id"].combine_chunks())
-        lives = np.asarray(table["lives"].combine_chunks()).astype(bool)
-        v = np.frombuffer(b"".join(table["v"].to_pylist()), np.float64).reshape(len(ids), -1)
-        here, hv = ids[lives], v[lives]
-        a, b, c = ([np.zeros(0, t)] for t in (np.int64, np.int64, np.float64))
-        for own in range(0, len(ids), CHUNK):
-            part = slice(own, own + CHUNK)
-            cos = v[part] @ hv.T
-            i, j = np.nonzero(cos >= least - SLACK)
-            x, y, resident = ids[part][i], here[j], lives[part][i]
-            keep = (x != y) & (~resident | (x < y))
-            a.append(np.minimum(x, y)[keep])
-            b.append(np.maximum(x, y)[keep])
-            c.append(cos[i, j][keep])
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b), "cosine": np.concatenate(c)})
+        for big in batches:
+            for at_row in range(0, big.num_rows, CHUNK):
+                batch = big.slice(at_row, CHUNK)
+                v, at = angles(batch)
+                ids = np.asarray(batch.column(0))
+                home = at.argmin(axis=1)
+                # mixed, as ids may all be multiples of some number
+                own = ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % pieces[home]
+                raw = pa.array([x.tobytes() for x in v], pa.binary())
+                for c in range(len(centre)):
+                    lives = home == c
+                    i = np.flatnonzero(lives | ((at[:, c] - reach <= far[c]) & (home < c)))
+                    first = np.where(lives[i], own[i], 0)
+                    for p in range(int(pieces[c])):
+                        r = i[first <= p]
+                        if len(r):
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), c)), pa.array(np.full(len(r), p)), pa.array(ids[r]), pa.array(lives[r] & (own[r] == p)), raw.take(pa.array(r))], names=["cell", "piece", "id", "lives", "v"])
+
+    def meet(batches):
+        place, held = None, []  # residents of the piece at hand, who come before its visitors
+        for big in batches:
+            for at in range(0, big.num_rows, CHUNK):
+                batch = big.slice(at, CHUNK)
+                where = np.stack([np.asarray(batch.column(0)), np.asarray(batch.column(1))])
+                cuts = [0, *(np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+                for low, high in zip(cuts, cuts[1:], strict=False):
+                    part = batch.slice(low, high - low)
+                    if place != (here := tuple(where[:, low].tolist())):
+                        place, held = here, []
+                    ids, lives = np.asarray(part.column(2)), np.asarray(part.column(3)).astype(bool)
+                    v = np.frombuffer(b"".join(part.column(4).to_pylist()), np.float64).reshape(len(ids), -1)
+                    if lives.any():
+                        held.append((ids[lives], v[lives]))
+                    for k, (own, hv) in enumerate(held):
+                        cos = v @ hv.T
+                        i, j = np.nonzero(cos >= least - SLACK)
+                        x, y = ids[i], own[j]
+                        # of residents of one chunk each pair comes twice, and once from different chunks
+                        keep = (x != y) & (~lives[i] | (x < y) | (k < len(held) - 1))
+                        if keep.any():
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[keep]), pa.array(np.maximum(x, y)[keep]), pa.array(cos[i, j][keep])], names=["a", "b", "cosine"])
 
     met = rows.mapInArrow(send, "cell long, piece long, id long, lives boolean, v binary")
-    return met.groupBy("cell", "piece").applyInArrow(meet, "a long, b long, cosine double").filter(F.col("cosine") >= least)
+    dealt = met.repartition("cell", "piece").sortWithinPartitions("cell", "piece", F.col("lives").desc())
+    return dealt.mapInArrow(meet, "a long, b long, cosine double").filter(F.col("cosine") >= least)
 
 
 def best_in_catalog(vectors: DataFrame, catalog: DataFrame, key: str, name: str, vector: str, least: float) -> DataFrame:

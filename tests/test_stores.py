@@ -150,3 +150,17 @@ def test_two_signals_and_catalog(spark):
     rows = spark.createDataFrame([(1, [5.0, 0.1]), (2, [0.0, 3.0]), (3, [1.0, 1.0]), (4, None), (5, [1.0])], "id long, v array<double>")
     got = {r.id: r.name for r in vectors.best_in_catalog(rows, catalog, "id", "name", "v", 0.78).collect()}
     assert got == {1: "found family", 2: "also quest", 3: None, 4: None, 5: None}
+
+
+def test_near_pairs_hold_a_chunk_of_visitors(spark, monkeypatch):
+    """No grouped table: all visitors of a cell stood in one before, however many. Ids are multiples of what pieces are counted by."""
+    monkeypatch.setattr(vectors, "PIECE", 16)
+    monkeypatch.setattr(vectors, "CHUNK", 7)
+    rnd = np.random.default_rng(5)
+    v = rnd.normal(size=(300, 6))
+    df = spark.createDataFrame([(i * 96, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    pairs = vectors.near_pairs(df, "id", "v", 0.7, 4)
+    assert "FlatMapGroupsInArrow" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    u = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    i, j = np.nonzero(np.triu(u @ u.T >= 0.7, 1))
+    assert sorted((r.a, r.b) for r in pairs.collect()) == sorted(zip((i * 96).tolist(), (j * 96).tolist(), strict=True))
