@@ -1,8 +1,11 @@
+import tracemalloc
+
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from claimlake.functions.passages import passages, spans
+from claimlake.functions.passages import packed, passages, spans
 from claimlake.operators import resolution
 
 
@@ -78,6 +81,17 @@ def test_passages_of_odd_texts(spark):
     assert got[3]["n"] == 1 and got[4]["n"] == 1667 and all(r["stop"] == r["len"] for r in got.values())
 
 
+def test_passages_hold_two_integers_a_window():
+    """A worker held an object and two boxed numbers for each window of a batch: 24 MB here."""
+    texts = pa.array(["A. " * 100_000, None, ""])
+    tracemalloc.start()
+    got = packed(texts, 600)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got[0]) == 99_801 and got[0].as_py()[-1] == {"start": 299_400, "stop": 300_000} and peak < 6_000_000
+    assert got[1].as_py() == got[2].as_py() == [] == packed(pa.array([None], pa.string()), 600)[0].as_py() and len(packed(texts[:0], 600)) == 0
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "form string, entity string, rank int, at int, key string, a string, b string")
     assert resolution.by_longest_prefix(none, none, "form").count() == resolution.by_tiers(none, none, "key", ["a", "b"]).count() == 0
