@@ -19,26 +19,43 @@ _MERGES = "g AS (SELECT work_id, least('n' || (pos % 4), 'n' || (pos % 3)) AS a,
 
 
 def _artefacts(t):
-    """One JSON object for each user and day, read back by the artefact reader; no busy user's events come together whole."""
-    n = F.col("event_id")
-    p = F.when(n % 9 != 0, (n * 37 % 101) / 100.0)
-    state = F.when(n % 4 == 0, "validated").when(n % 4 == 1, "review_required").when(n % 4 == 2, "rejected")
-    name = F.concat(F.lit("n"), (n % 7).cast("string"))
-    claim = F.struct(name.alias("from"), F.concat(F.lit("n"), (n % 5).cast("string")).alias("to"), F.col("event_type").alias("type"), F.dayofmonth("ts").cast("string").alias("chapter"), p.alias("validation_p"), state.alias("validation_state"), F.when(n % 5 == 0, "downgraded").alias("validation_note"))
-    merge = F.struct(F.concat(F.lit("n"), (n % 4).cast("string")).alias("name_a"), F.concat(F.lit("n"), (n % 3).cast("string")).alias("name_b"), p.alias("p_yes"))
-    person = F.struct(name.alias("name"), F.array(F.concat(name, F.lit(" of old"))).alias("unresolved_mentions"))
+    """One JSON object for each user and day, read back by the artefact reader; no busy user's events come together whole.
+
+    A day's events are gathered and sorted once, as ids and types; the lists of its object are made of them there, so that no claim travels before it is read.
+    """
+
+    def named(c, of):
+        return F.concat(F.lit("n"), (c["event_id"] % of).cast("string"))
+
+    def score(c):
+        n = c["event_id"]
+        return F.when(n % 9 != 0, (n * 37 % 101) / 100.0)
+
+    def claim(c):
+        n = c["event_id"]
+        state = F.when(n % 4 == 0, "validated").when(n % 4 == 1, "review_required").when(n % 4 == 2, "rejected")
+        return F.struct(named(c, 7).alias("from"), named(c, 5).alias("to"), c["event_type"].alias("type"), F.col("day").cast("string").alias("chapter"), score(c).alias("validation_p"), state.alias("validation_state"), F.when(n % 5 == 0, "downgraded").alias("validation_note"))
+
+    def merge(c):
+        return F.struct(named(c, 4).alias("name_a"), named(c, 3).alias("name_b"), score(c).alias("p_yes"))
+
+    def person(c):
+        return F.struct(named(c, 7).alias("name"), F.array(F.concat(named(c, 7), F.lit(" of old"))).alias("unresolved_mentions"))
+
+    def of(i):
+        return lambda c: c["event_id"] % 3 == i  # filter would give a second argument the place
 
     def listed(item, when):
-        return F.transform(F.array_sort(F.collect_list(F.when(when, F.struct(n, item.alias("x"))))), lambda s: s["x"])
-
-    kind = F.col("event_type")
-    works = t("events").groupBy("user_id", F.dayofmonth("ts").alias("day")).agg(
-        *(listed(claim, n % 3 == i).alias(c) for i, c in enumerate(previews.CLAIM_LISTS)),
-        listed(person, kind == "view").alias("characters"),
-        listed(person, kind == "click").alias("minor_characters"),
-        listed(merge, kind == "signup").alias("possible_merges"),
+        return F.transform(F.filter("events", when), item)
+
+    works = t("events").groupBy("user_id", F.dayofmonth("ts").alias("day")).agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))).alias("events"))
+    texts = works.select(
+        F.concat_ws("-", F.concat(F.lit("u"), F.col("user_id").cast("string")), F.col("day").cast("string")).alias("work_id"),
+        *(listed(claim, of(i)).alias(name) for i, name in enumerate(previews.CLAIM_LISTS)),
+        listed(person, lambda c: c["event_type"] == "view").alias("characters"),
+        listed(person, lambda c: c["event_type"] == "click").alias("minor_characters"),
+        listed(merge, lambda c: c["event_type"] == "signup").alias("possible_merges"),
     )
-    texts = works.select(F.concat_ws("-", F.concat(F.lit("u"), F.col("user_id").cast("string")), F.col("day").cast("string")).alias("work_id"), *works.columns[2:])
     return previews.parsed(texts.select(F.to_json(F.struct("*")).alias("value"), F.concat("work_id", F.lit(".json")).alias("file")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlake.functions import evidence, names, scores
 from claimlake.operators import joins, reduce
+from claimlake.plans import imports
 from claimlake.sources import previews
 
 
@@ -146,3 +147,16 @@ def test_artefacts_are_read_once_for_claims_and_once_for_merges(spark):
 
     assert reads(previews.alerts(art)) == 2
     assert reads(previews.near_misses(art)) == reads(previews.merges(art)) == 1
+
+
+def test_artefacts_gather_a_days_events_once(spark):
+    """Ids and types alone are shuffled: whole claims and people were gathered in six lists before."""
+    rows = [(8, 1, "view"), (3, 1, "click"), (8, 1, None), (None, 1, "view"), (4, 2, "signup")]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string").withColumn("ts", F.lit("2024-01-05").cast("timestamp"))
+    art = imports._artefacts(lambda _: events)
+    assert art._jdf.queryExecution().optimizedPlan().toString().count("collect_list(") == 1
+    one, two = art.orderBy("work_id").collect()
+    assert (one.work_id, two.work_id) == ("u1-5", "u2-5")
+    assert [[(c["from"], c.to, c.type, c.chapter, c.validation_state, c.validation_note) for c in one[k]] for k in previews.CLAIM_LISTS] == [[("n3", "n3", "click", "5", None, None)], [], [("n1", "n3", None, "5", "validated", None), ("n1", "n3", "view", "5", "validated", None)]]
+    assert [p.name for p in one.characters] == [None, "n1"] and [p.name for p in one.minor_characters] == ["n3"] and one.possible_merges == []
+    assert [(m.name_a, m.name_b) for m in two.possible_merges] == [("n0", "n1")] and [c["from"] for c in two.minor_sourced_relationships] == ["n4"]
