@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from .names import let
 
 #: A word: letters, marks and digits, an apostrophe inside it too.
-WORD = r"[\p{L}\p{M}\p{N}]+(?:['’][\p{L}\p{M}\p{N}]+)*"
+WORD = r"[\p{L}\p{M}\p{N}]++(?:['’][\p{L}\p{M}\p{N}]++)*+"
+#: A sign beyond ASCII that is of no word.
+SIGN = r"[^\x00-\x7F\p{L}\p{M}\p{N}]"
 #: Signs that end a sentence, those that may close after them, and those that may open before one.
 ENDS, CLOSES, OPENS = ".!?…", "\"'”’)", "\"'“‘("
 _CUT = "\u0001"

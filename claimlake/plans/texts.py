@@ -17,7 +17,7 @@ _SENTENCES = r"""s AS (SELECT doc_id, source, text, list_filter(list_transform(s
 def _candidates(t):
     """A quote of each document: its third sentence, upper-cased in every other document, without its commas."""
     d = t("documents").filter("text IS NOT NULL")
-    third = F.get(sentences_of.sentences("text"), F.lit(2))
+    third = sentences_of.sentence("text", 2)
     quote = F.translate(F.when(F.col("doc_id") % 2 == 0, F.translate(third, _LOW, _HIGH)).otherwise(third), ",", "")
     return d.select(F.col("doc_id").alias("id"), "source", quote.alias("quote"), F.when(F.col("doc_id") % 3 == 0, "signature").otherwise("evidence").alias("kind"), F.when(F.col("doc_id") % 5 != 0, F.col("doc_id")).alias("asserted"))
 
@@ -36,7 +36,7 @@ def quotes_verified(t):
 @unchecked
 def evidence_slips(t):
     """Each document's second sentence with a few signs lost, checked against the document."""
-    d = t("documents").filter("text IS NOT NULL").withColumn("quote", F.get(sentences_of.sentences("text"), F.lit(1)))
+    d = t("documents").filter("text IS NOT NULL").withColumn("quote", sentences_of.sentence("text", 1))
     at = F.col("doc_id") % 7 + 3
     torn = F.when(F.col("doc_id") % 3 == 0, F.concat(F.left("quote", at.cast("int")), F.substring("quote", at.cast("int") + 3, F.length("quote")))).otherwise(F.when(F.col("doc_id") % 3 == 1, F.reverse("quote")).otherwise(F.col("quote")))
     return evidence.checked_evidence(d.withColumn("quote", torn), "quote", "text").select("doc_id", "evidence", "distance")
